@@ -94,6 +94,9 @@ class OneToOnePass:
         ra = (right.groupBy("block", F.col(self.rkey).alias("rk"), *self.extra_right)
               .agg(F.count(F.lit(1)).alias("nr"), F.max("rid").alias("rid"),
                    F.max("ref").alias("ref")))
+        # label-level (one row per distinct key): read by the finder and the
+        # count join; persisted so the side is aggregated once per pass
+        la, ra = la.persist(), ra.persist()
         pairs = self.finder(la, ra)
         scores = [c for c in ("trigram", "levenshtein") if c in pairs.columns]
         pairs = (pairs.join(la.select("block", "lk", "nl", "lid"), ["block", "lk"])
@@ -106,7 +109,9 @@ class OneToOnePass:
         if self.id_check:
             g = g.filter(F.col("ref").isNotNull() & (F.col("ref") == F.col("lid")))
         if self.drop_doubles:
-            g = drop_ambiguous(drop_ambiguous(g, "lid"), "rid")
+            # the A5 anti-joins read the pass result twice each: keep it once
+            g = g.persist()
+            g = drop_ambiguous(drop_ambiguous(g, "lid").persist(), "rid")
         for c in ("trigram", "levenshtein"):
             if c not in g.columns:
                 g = g.withColumn(c, F.lit(None))

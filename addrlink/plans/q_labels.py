@@ -23,7 +23,7 @@ SELECT DISTINCT long, court FROM s WHERE long IS NOT NULL AND long <> ''
 """)
 def label_clean(spark, sf):
     """nom_maj, A-Z/0-9 cleaning, distinct labels."""
-    d = read_table(spark, sf, "documents").select(T.nom_maj("text").alias("long"))
+    d = read_table(spark, sf, "documents", spread=True).select(T.nom_maj("text").alias("long"))
     c = F.col("long")
     c0 = F.when(c.rlike("[^A-Z 0-9]"), T.keep_alnum(c)).otherwise(c)
     out = d.withColumn("court", c0).withColumn("court", F.trim(T.drop_star("court")))
@@ -39,7 +39,7 @@ FROM documents
 """)
 def label_articles(spark, sf):
     """Articles removed, LIEU DIT dropped, apostrophes glued."""
-    d = read_table(spark, sf, "documents")
+    d = read_table(spark, sf, "documents", spread=True)
     court = T.drop_place_prefix(T.drop_articles(T.keep_alnum(T.nom_maj("text"))))
     glued = T.glue_apostrophe(T.unaccent_upper("text"))
     return d.select("doc_id", court.alias("court"), glued.alias("glued"))
@@ -62,7 +62,7 @@ FROM c
 """)
 def label_first_only(spark, sf):
     """T15 T20 T25 and ``replace_first``: first-match-only rewrites on whole texts."""
-    d = read_table(spark, sf, "documents")
+    d = read_table(spark, sf, "documents", spread=True)
     c0 = light_court(T.nom_maj("text"))
     b = d.select("doc_id", c0.alias("c0"))
     first_ord = T.replace_first(T.replace_first("c0", " 1 (" + T.alt(T.FIRST_SUFFIXES) + ")( |$)",
@@ -121,7 +121,7 @@ SELECT doc_id, {_roman_sql('s')} AS court FROM r
 """)
 def label_roman(spark, sf):
     """Roman numerals to digits, in rule order, first match each."""
-    d = read_table(spark, sf, "documents").select("doc_id", light_court(T.nom_maj("text")).alias("c0"))
+    d = read_table(spark, sf, "documents", spread=True).select("doc_id", light_court(T.nom_maj("text")).alias("c0"))
     c0 = F.col("c0")
     tail = (F.when(F.length(c0) % 3 == 0, F.lit("HENRI V"))
             .when(F.length(c0) % 3 == 1, F.lit("XX")).otherwise(F.lit("X")))
@@ -200,7 +200,7 @@ SELECT doc_id, {_digits_sql('s', 's')} AS court FROM r
 """)
 def label_digits(spark, sf):
     """0/O repair, HAMEAU rules, Breton CH on whole texts."""
-    d = read_table(spark, sf, "documents").select("doc_id", light_court(T.nom_maj("text")).alias("c0"))
+    d = read_table(spark, sf, "documents", spread=True).select("doc_id", light_court(T.nom_maj("text")).alias("c0"))
     k = F.col("doc_id") % 3
     s = (F.when(k == 0, F.concat(F.lit("C0"), F.col("c0"), F.lit(" KERC H")))
          .when(k == 1, F.concat(F.col("c0"), F.lit(" HAMEAU")))

@@ -15,9 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 _DEFAULTS = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # similarity joins and regex chains are CPU-bound on little data: let
+    # AQE keep small shuffles split instead of merging them into one task
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # labels are regex-heavy; keep generated code within the JIT limit
@@ -61,5 +65,18 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """Read one driver table.
+
+    ``spread``: for CPU-heavy per-row work (regex chains on whole texts), a
+    scan with fewer partitions than the cluster has cores (one small file =
+    one row group = one task) is hash-repartitioned on its first column so
+    every core works.  On a large input the scan already has enough splits
+    and nothing is added.
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if spread:
+        want = spark.sparkContext.defaultParallelism * 2
+        if df.rdd.getNumPartitions() < want:
+            df = df.repartition(want, df.columns[0])
+    return df

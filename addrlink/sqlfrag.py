@@ -54,10 +54,10 @@ def glob(x: str, pat: str, rep: str) -> str:
 
 def trigrams(x: str) -> str:
     """Set of padded trigrams of the lower-cased alphanumeric words."""
-    words = f"list_filter(regexp_split_to_array(lower({x}), '[^a-z0-9]+'), w -> w <> '')"
+    words = f"list_filter(regexp_split_to_array(lower({x}), '[^a-z0-9]+'), lambda w: w <> '')"
     return ("list_distinct(flatten(list_transform(" + words +
-            ", w -> list_transform(range(1, length(w) + 2), "
-            "i -> substr('  ' || w || ' ', i, 3)))))")
+            ", lambda w: list_transform(range(1, length(w) + 2), "
+            "lambda i: substr('  ' || w || ' ', i, 3)))))")
 
 
 def trigram_distance_lists(a: str, b: str) -> str:
