@@ -85,13 +85,14 @@ def update_from(target: DataFrame, src: DataFrame, key: str | Sequence[str],
     old value.
     """
     k = _cols(key)
-    s = src.select(*k, *[F.col(v).alias("_new_" + t) for t, v in cols.items()])
-    s = s.withColumn("_hit", F.lit(True))
     if order is None:
-        order = [F.col("_new_" + t) for t in cols]
-    else:
-        order = list(order)
-    s = one_per_key(s, k, order) if order else s.dropDuplicates(k)
+        order = [F.col(v) for v in cols.values()]
+    order = list(order)
+    s = src.select(*k, *[F.col(v).alias("_new_" + t) for t, v in cols.items()],
+                   *[o.alias(f"_ord{i}") for i, o in enumerate(order)])
+    s = s.withColumn("_hit", F.lit(True))
+    s = one_per_key(s, k, [F.col(f"_ord{i}") for i in range(len(order))])
+    s = s.drop(*[f"_ord{i}" for i in range(len(order))])
     out = target.join(s, k, "left")
     for t in cols:
         new = F.col("_new_" + t)
