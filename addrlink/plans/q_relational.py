@@ -28,7 +28,7 @@ def update_from(spark, sf):
     c = read_table(spark, sf, "customer").select("c_custkey", "c_name", "c_mktsegment")
     o = read_table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"),
                                                "o_orderpriority", "o_orderdate", "o_orderkey")
-    order = [-F.unix_micros("o_orderdate"), -F.col("o_orderkey")]
+    order = [-F.unix_micros(F.col("o_orderdate").cast("timestamp")), -F.col("o_orderkey")]
     return R.update_from(c, o, "c_custkey", {"c_mktsegment": "o_orderpriority"}, order=order)
 
 
