@@ -1 +1,321 @@
-"""placeholder"""
+"""Exports, producer-file readers, audit and merged groups on driver tables."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .. import sqlfrag as S
+from ..catalog import query
+from ..functions import text as T
+from ..operators import cascade as C
+from ..operators import relational as R
+from ..session import ensure_checkpoint_dir, read_table
+from ..sinks import ndjson as K
+from ..sources import readers as SR
+from . import housenumbers as H
+from .q_housenumbers import MODEL_SQL, _hn, model
+from .q_matching import PARITY_SQL, doc_groups, m5, sql_one_to_one
+
+
+def scratch_dir(spark, name: str) -> str:
+    """A fresh folder under the shared checkpoint folder (never machine-local on a cluster)."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/scratch-{name}-{uuid.uuid4().hex[:8]}"
+
+
+# ------------------------------------------------------------------ JSON exports
+_GF_SQL = """gf AS (SELECT CAST(10000 + c_custkey % 25 AS VARCHAR) || right('0000' || CAST(c_custkey AS VARCHAR), 4) AS id_fantoir,
+    CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN NULL ELSE 'I' || CAST(c_custkey AS VARCHAR) END AS id_pseudo_fpb,
+    CASE WHEN c_mktsegment = 'FURNITURE' THEN NULL ELSE right('0000000' || CAST(c_custkey AS VARCHAR), 8) END AS co_voie,
+    CAST(10000 + c_custkey % 25 AS VARCHAR) AS code_insee,
+    'RUE ' || upper(c_name) AS nom_fantoir,
+    CASE WHEN c_mktsegment <> 'AUTOMOBILE' THEN 'Rue ' || lower(c_name) END AS nom_ign,
+    CASE WHEN c_mktsegment <> 'FURNITURE' THEN 'R ' || upper(c_name) END AS nom_laposte,
+    CASE WHEN c_acctbal > 0 THEN 'Rue ' || c_name END AS nom_cadastre,
+    CASE WHEN c_mktsegment = 'BUILDING' THEN 'area' ELSE 'way' END AS kind,
+    CASE WHEN c_nationkey % 2 = 0 THEN 'classical' END AS addressing FROM customer)"""
+
+
+@query("json_groups", f"""
+WITH {_GF_SQL},
+v AS (SELECT 1 AS version, id_fantoir AS id, nom_fantoir AS name, code_insee, kind, addressing FROM gf
+        WHERE id_fantoir IS NOT NULL AND nom_fantoir IS NOT NULL
+      UNION ALL SELECT 2, id_pseudo_fpb, nom_ign, code_insee, kind, addressing FROM gf
+        WHERE id_pseudo_fpb IS NOT NULL AND nom_ign IS NOT NULL
+      UNION ALL SELECT 3, co_voie, nom_laposte, code_insee, kind, addressing FROM gf
+        WHERE co_voie IS NOT NULL AND nom_laposte IS NOT NULL
+      UNION ALL SELECT 4, id_fantoir, nom_cadastre, code_insee, kind, addressing FROM gf
+        WHERE id_fantoir IS NOT NULL AND nom_cadastre IS NOT NULL)
+SELECT version, CASE WHEN code_insee LIKE '97%' THEN left(code_insee, 3) ELSE left(code_insee, 2) END AS dep,
+       id, name, kind, addressing, 6 + CASE WHEN addressing IS NULL THEN 0 ELSE 1 END AS n_keys
+FROM v
+""")
+def json_groups(spark, sf):
+    """Four group versions in posting order, optional keys only when
+    non-null, department partition key; fields read back from the JSON text."""
+    from .q_housenumbers import _fantoir, _insee
+    c = read_table(spark, sf, "customer")
+    k, seg = F.col("c_custkey"), F.col("c_mktsegment")
+    gf = c.select(
+        _fantoir(k).alias("id_fantoir"),
+        F.when(seg == "AUTOMOBILE", F.lit(None)).otherwise(F.concat(F.lit("I"), k.cast("string"))).alias("id_pseudo_fpb"),
+        F.when(seg == "FURNITURE", F.lit(None)).otherwise(T.pad8(k.cast("string"))).alias("co_voie"),
+        _insee(k).alias("code_insee"),
+        F.concat(F.lit("RUE "), F.upper("c_name")).alias("nom_fantoir"),
+        F.when(seg != "AUTOMOBILE", F.concat(F.lit("Rue "), F.lower("c_name"))).alias("nom_ign"),
+        F.when(seg != "FURNITURE", F.concat(F.lit("R "), F.upper("c_name"))).alias("nom_laposte"),
+        F.when(F.col("c_acctbal") > 0, F.concat(F.lit("Rue "), F.col("c_name"))).alias("nom_cadastre"),
+        F.when(seg == "BUILDING", F.lit("area")).otherwise(F.lit("way")).alias("kind"),
+        F.when(F.col("c_nationkey") % 2 == 0, F.lit("classical")).alias("addressing"))
+    out = None
+    idcol = {1: "fantoir", 2: "ign", 3: "laposte", 4: "fantoir"}
+    for v in (1, 2, 3, 4):
+        e = K.export_groups(gf, v)
+        j = F.col("json")
+        e = e.select("version", "dep",
+                     F.get_json_object(j, f"$.{idcol[v]}").alias("id"),
+                     F.get_json_object(j, "$.name").alias("name"),
+                     F.get_json_object(j, "$.kind").alias("kind"),
+                     F.get_json_object(j, "$.addressing").alias("addressing"),
+                     F.size(F.map_keys(F.from_json(j, "map<string,string>"))).alias("n_keys"))
+        out = e if out is None else out.unionByName(e)
+    return out
+
+
+@query("json_housenumbers", f"""
+WITH {MODEL_SQL.strip()}
+SELECT CASE WHEN code_insee LIKE '97%' THEN left(code_insee, 3) ELSE left(code_insee, 2) END AS dep,
+  CASE WHEN group_fantoir IS NOT NULL THEN 'fantoir:' || group_fantoir WHEN group_ign IS NOT NULL THEN 'ign:' || group_ign
+       ELSE 'laposte:' || group_laposte END AS parent,
+  number, ordinal, cia, CASE WHEN co_postal IS NOT NULL THEN 'code:' || co_postal END AS postcode, source_init
+FROM hn_all WHERE group_fantoir IS NOT NULL OR group_ign IS NOT NULL OR group_laposte IS NOT NULL
+""")
+def json_housenumbers(spark, sf):
+    """K4 K6: house numbers in three disjoint sets by parent id, nested attributes."""
+    hn = _hn(spark, sf)[4]
+    e = K.export_housenumbers(hn, keep_destination=True)
+    j = F.col("json")
+    return e.select("dep", *[F.get_json_object(j, f"$.{k}").alias(k)
+                             for k in ("parent", "number", "ordinal", "cia", "postcode")],
+                    F.get_json_object(j, "$.attributes.source_init").alias("source_init"))
+
+
+@query("json_positions", f"""
+WITH {MODEL_SQL.strip()},
+gi AS (SELECT id_pseudo_fpb, id_fantoir FROM groups),
+ip AS (SELECT s.*, CASE WHEN indice_de_positionnement = '5' THEN 'area' WHEN type_de_localisation = 'A la plaque' THEN 'entrance'
+    WHEN type_de_localisation = 'Projetée du centre parcelle' THEN 'segment' WHEN type_de_localisation LIKE 'A la zone%' THEN 'area'
+    WHEN type_de_localisation = 'Interpolée' THEN 'segment' ELSE 'unknown' END AS kind,
+    CASE WHEN gi.id_fantoir IS NOT NULL THEN concat_ws('_', left(gi.id_fantoir, 5), right(gi.id_fantoir, 4), s.numero, s.rep)
+         ELSE '' END AS cia
+    FROM stacked s LEFT JOIN gi ON gi.id_pseudo_fpb = s.id_pseudo_fpb),
+pos AS (SELECT cia, CAST(round(CAST(lon AS DECIMAL(20,10)), 6) AS DOUBLE) AS lon, CAST(round(CAST(lat AS DECIMAL(20,10)), 6) AS DOUBLE) AS lat,
+    id AS ign, id_hn AS housenumber_ign, kind FROM ip WHERE kind <> 'unknown' AND indice_de_positionnement <> '6'
+    UNION ALL
+    SELECT cia, CAST(round(CAST(lon AS DECIMAL(20,10)), 6) AS DOUBLE), CAST(round(CAST(lat AS DECIMAL(20,10)), 6) AS DOUBLE),
+    NULL, NULL, CASE WHEN position_type = 'parcel' THEN 'parcel' ELSE 'entrance' END FROM taxc WHERE position_type IS NOT NULL),
+pk1 AS (SELECT cia, max(code_insee) AS insee1 FROM hn_all WHERE cia IS NOT NULL AND cia <> '' GROUP BY cia),
+pk2 AS (SELECT ign, max(code_insee) AS insee2 FROM hn_all WHERE ign IS NOT NULL AND ign <> '' GROUP BY ign),
+p AS (SELECT pos.*, coalesce(pk1.insee1, pk2.insee2) AS insee FROM pos LEFT JOIN pk1 ON pos.cia = pk1.cia
+      LEFT JOIN pk2 ON pos.housenumber_ign = pk2.ign
+      WHERE (pos.cia IS NOT NULL AND pos.cia <> '' AND pk1.insee1 IS NOT NULL) OR pk2.insee2 IS NOT NULL)
+SELECT CASE WHEN insee LIKE '97%' THEN left(insee, 3) ELSE left(insee, 2) END AS dep,
+  CASE WHEN housenumber_ign IS NOT NULL THEN 'ign:' || housenumber_ign ELSE 'cia:' || cia END AS housenumber,
+  lon, lat, kind
+FROM p
+""")
+def json_positions(spark, sf):
+    """Positions as GeoJSON points, keyed by IGN id or cia."""
+    m, stacked, tax, postal, hn = _hn(spark, sf)
+    p = H.build_positions(H.ign_positions(stacked, m["groups"]), tax, hn)
+    e = K.export_positions(p)
+    j = F.col("json")
+    return e.select("dep", F.get_json_object(j, "$.housenumber").alias("housenumber"),
+                    F.get_json_object(j, "$.center.coordinates[0]").cast("double").alias("lon"),
+                    F.get_json_object(j, "$.center.coordinates[1]").cast("double").alias("lat"),
+                    F.get_json_object(j, "$.kind").alias("kind"))
+
+
+# ------------------------------------------------------------------ merged groups
+@query("merge_groups", f"""
+WITH {PARITY_SQL.strip()},
+k AS ({sql_one_to_one('l', 'r', 'l.court = r.court')}),
+lk AS (SELECT l.lid, k.rid, l.block, l.name AS nom_fantoir, r.name AS nom_ign FROM l
+       LEFT JOIN k ON l.lid = k.lid LEFT JOIN r ON k.rid = r.rid),
+ru AS (SELECT NULL AS lid, r.rid, r.block, NULL AS nom_fantoir, r.name AS nom_ign FROM r
+       WHERE r.rid NOT IN (SELECT rid FROM k)),
+mg AS (SELECT * FROM lk UNION ALL SELECT * FROM ru),
+n AS (SELECT *, coalesce(nom_ign, nom_fantoir) AS nom_maj_fnal FROM mg WHERE coalesce(nom_ign, nom_fantoir) <> '')
+SELECT row_number() OVER (ORDER BY coalesce(lid, ''), coalesce(rid, '')) AS id, lid, rid, block,
+       length(nom_maj_fnal) AS name_len, nom_ign IS NOT NULL AS has_ign
+FROM n
+""")
+def merge_groups(spark, sf):
+    """Merged group table (left rows + links + unlinked right
+    rows), display-name priority, unnamed rows dropped, dense surrogate ids."""
+    l, r = doc_groups(spark, sf)
+    links = m5().run(l, r).select("lid", "rid")
+    lk = (l.join(links, "lid", "left")
+          .join(r.select("rid", F.col("name").alias("nom_ign")), "rid", "left")
+          .select("lid", "rid", "block", F.col("name").alias("nom_fantoir"), "nom_ign"))
+    ru = R.unmatched(r, links, "rid").select("rid", "block", F.col("name").alias("nom_ign"))
+    g = R.append(lk, ru)
+    g = g.withColumn("nom_maj_fnal", F.coalesce("nom_ign", "nom_fantoir")).filter(F.col("nom_maj_fnal") != "")
+    g = g.withColumn("_o1", F.coalesce("lid", F.lit(""))).withColumn("_o2", F.coalesce("rid", F.lit("")))
+    g = R.assign_ids(g, ["_o1", "_o2"])
+    return g.select("id", "lid", "rid", "block", F.length("nom_maj_fnal").alias("name_len"),
+                    F.col("nom_ign").isNotNull().alias("has_ign"))
+
+
+# ------------------------------------------------------------------ audit
+@query("audit", """
+WITH lo AS (SELECT DISTINCT l_orderkey FROM lineitem),
+lsum AS (SELECT l_orderkey, round(sum(l_extendedprice), 2) AS s, count(*) AS n FROM lineitem GROUP BY l_orderkey)
+SELECT 'R1 orders' AS check_name, '' AS k, count(*) AS n FROM orders
+UNION ALL SELECT 'R1 orders in lineitem', '', count(*) FROM lo
+UNION ALL SELECT 'R2 lost orders', '', count(*) FROM orders o WHERE NOT EXISTS (SELECT 1 FROM lo WHERE lo.l_orderkey = o.o_orderkey)
+UNION ALL SELECT 'R3 price mismatch', '', count(*) FROM orders o LEFT JOIN lsum ON o.o_orderkey = lsum.l_orderkey
+   WHERE lsum.s IS NULL OR lsum.s <> round(o.o_totalprice, 2)
+UNION ALL SELECT 'R4 duplicate lines', '', count(*) FROM (SELECT l_orderkey, l_linenumber FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1)
+UNION ALL SELECT 'R5 status F without F line', '', count(*) FROM orders o WHERE o.o_orderstatus = 'F'
+   AND NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey AND l.l_linestatus = 'F')
+UNION ALL SELECT 'R6 status', o_orderstatus, count(*) FROM orders GROUP BY o_orderstatus
+UNION ALL SELECT 'R8 flag by status', l_linestatus || '/' || l_returnflag, count(*) FROM lineitem GROUP BY 2
+UNION ALL SELECT 'R11 line count differs', '', count(*) FROM orders o JOIN lsum ON o.o_orderkey = lsum.l_orderkey
+   WHERE lsum.n <> (o.o_orderkey % 7) + 1
+UNION ALL SELECT 'R12 bad part ids', '', count(*) FROM (SELECT l_partkey FROM lineitem GROUP BY l_partkey) x
+   WHERE NOT EXISTS (SELECT 1 FROM part p WHERE p.p_partkey = x.l_partkey)
+UNION ALL SELECT 'O2 top order', CAST(o_orderkey AS VARCHAR), 1 FROM (SELECT o_orderkey FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 5)
+""")
+def audit(spark, sf):
+    """Source-versus-result checks as one
+    tidy (check_name, k, n) table; counts only, no rows pulled to the driver."""
+    o = read_table(spark, sf, "orders")
+    li = read_table(spark, sf, "lineitem")
+    part = read_table(spark, sf, "part")
+    lo = li.select("l_orderkey").distinct()
+    lsum = li.groupBy("l_orderkey").agg(F.round(F.sum("l_extendedprice"), 2).alias("s"),
+                                        F.count(F.lit(1)).alias("n"))
+
+    def one(name, df, k=F.lit("")):
+        return df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("check_name"), k.alias("k"), "n")
+
+    parts = [
+        one("R1 orders", o),
+        one("R1 orders in lineitem", lo),
+        one("R2 lost orders", R.unmatched(o, lo, "o_orderkey", "l_orderkey")),
+        one("R3 price mismatch", o.join(lsum, o["o_orderkey"] == lsum["l_orderkey"], "left")
+            .filter(F.col("s").isNull() | (F.col("s") != F.round("o_totalprice", 2)))),
+        one("R4 duplicate lines", R.duplicated_keys(li, ["l_orderkey", "l_linenumber"])),
+        one("R5 status F without F line", R.unmatched(o.filter(F.col("o_orderstatus") == "F"),
+                                                      li.filter(F.col("l_linestatus") == "F"),
+                                                      "o_orderkey", "l_orderkey")),
+        o.groupBy(F.col("o_orderstatus").alias("k")).agg(F.count(F.lit(1)).alias("n"))
+        .select(F.lit("R6 status").alias("check_name"), "k", "n"),
+        li.groupBy(F.concat_ws("/", "l_linestatus", "l_returnflag").alias("k")).agg(F.count(F.lit(1)).alias("n"))
+        .select(F.lit("R8 flag by status").alias("check_name"), "k", "n"),
+        one("R11 line count differs", o.join(lsum, o["o_orderkey"] == lsum["l_orderkey"])
+            .filter(F.col("n") != (F.col("o_orderkey") % 7) + 1)),
+        one("R12 bad part ids", R.unmatched(li.select("l_partkey").distinct(), part, "l_partkey", "p_partkey")),
+        o.orderBy(F.desc("o_totalprice"), "o_orderkey").limit(5)
+        .select(F.lit("O2 top order").alias("check_name"), F.col("o_orderkey").cast("string").alias("k"),
+                F.lit(1).cast("long").alias("n")),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+# ------------------------------------------------------------------ producer files read back
+@query("fixed_width", """
+SELECT right('00' || CAST(c_nationkey AS VARCHAR), 2) AS code_dept, right('000' || CAST(c_custkey % 1000 AS VARCHAR), 3) AS code_com,
+  right('0000' || CAST(c_custkey AS VARCHAR), 4) AS id_voie, trim(left(upper(c_mktsegment), 4)) AS nature_voie,
+  trim(left(upper(replace(c_name, '#', ' ')), 26)) AS libelle_voie,
+  TRY_CAST(CAST(CAST(floor(c_acctbal) AS BIGINT) AS VARCHAR) AS INTEGER) AS pop_a_part, CAST(NULL AS INTEGER) AS pop_fictive,
+  right('00' || CAST(c_nationkey AS VARCHAR), 2) || right('000' || CAST(c_custkey % 1000 AS VARCHAR), 3) AS code_insee
+FROM customer
+""")
+def fixed_width(spark, sf):
+    """A fixed-width register written from ``customer`` (street records
+    interleaved with department / municipality header lines) and read back
+    with the layout; headers filtered; integers by ``try_cast``."""
+    c = read_table(spark, sf, "customer")
+    k = F.col("c_custkey")
+    dept = F.right(F.concat(F.lit("00"), F.col("c_nationkey").cast("string")), F.lit(2))
+    com = F.right(F.concat(F.lit("000"), (k % 1000).cast("string")), F.lit(3))
+    street = F.right(F.concat(F.lit("0000"), k.cast("string")), F.lit(4))
+    label = F.left(F.upper(F.replace("c_name", F.lit("#"), F.lit(" "))), F.lit(26))
+    pop = F.floor("c_acctbal").cast("bigint").cast("string")
+    sp = lambda n: F.lit(" " * n)
+    line = F.concat(dept, F.lit("0"), com, street, F.lit("K"),                      # 1-11
+                    F.rpad(F.left(F.upper("c_mktsegment"), F.lit(4)), 4, " "),      # 12-15
+                    F.rpad(label, 26, " "), sp(7), F.lit("3"), sp(3), sp(7),          # 16-59
+                    F.lpad(pop, 7, " "), sp(7), sp(1), sp(7), F.lit("0000000"),      # 60-88
+                    sp(15), F.lit("00001"), F.lit("1"), sp(1), sp(2), F.lit("LASTWORD"))  # 89-120
+    dep_hdr = c.select(F.concat(dept, F.lit("0 DEPARTEMENT")).alias("value")).distinct()
+    com_hdr = c.select(F.concat(dept, F.lit("0"), com, F.lit(" COMMUNE")).alias("value")).distinct()
+    path = scratch_dir(spark, "fixed")
+    dep_hdr.unionByName(com_hdr).unionByName(c.select(line.alias("value"))).write.mode("overwrite").text(path)
+    r = SR.read_fixed_width(spark, path)
+    return r.select("code_dept", "code_com", "id_voie", "nature_voie", "libelle_voie", "pop_a_part",
+                    "pop_fictive", "code_insee")
+
+
+@query("csv_sources", """
+SELECT CAST(c_custkey AS VARCHAR) AS co_insee, c_name AS lb_l5_nn, CAST(c_nationkey AS VARCHAR) AS co_insee_anc,
+       c_mktsegment AS co_postal, c_name || ' é' AS lb_l6, 'main' AS part FROM customer WHERE c_acctbal >= 0
+UNION ALL
+SELECT CAST(c_custkey AS VARCHAR), c_name, CAST(c_nationkey AS VARCHAR), c_mktsegment, c_name || ' é', 'errors'
+FROM customer WHERE c_acctbal < 0
+UNION ALL
+SELECT '75056', 'PARIS', NULL, '75000', 'PARIS', 'extra'
+""")
+def csv_sources(spark, sf):
+    """S1 S3 S4 S10 S12: ';' CSV files with header written per department plus
+    an ``*_errors*`` file, read back with a fixed schema (ISO-8859-1), the
+    error file kept apart by file name, literal reference rows appended."""
+    c = read_table(spark, sf, "customer")
+    base = c.select(F.col("c_custkey").cast("string").alias("co_insee"), F.col("c_name").alias("lb_l5_nn"),
+                    F.col("c_nationkey").cast("string").alias("co_insee_anc"),
+                    F.col("c_mktsegment").alias("co_postal"),
+                    F.concat(F.col("c_name"), F.lit(" é")).alias("lb_l6"), "c_acctbal")
+    path = scratch_dir(spark, "csv")
+    w = lambda df, sub: (df.drop("c_acctbal").write.mode("overwrite").option("header", True).option("sep", ";")
+                         .option("encoding", "ISO-8859-1").csv(f"{path}/{sub}"))
+    w(base.filter(F.col("c_acctbal") >= 0), "poste_cp")
+    w(base.filter(F.col("c_acctbal") < 0), "poste_cp_errors")
+    cols = ["co_insee", "lb_l5_nn", "co_insee_anc", "co_postal", "lb_l6"]
+    main = SR.read_csv_table(spark, f"{path}/*", cols, sep=";", encoding="ISO-8859-1", exclude="%_errors%")
+    errs = SR.read_csv_table(spark, f"{path}/*_errors", cols, sep=";", encoding="ISO-8859-1")
+    extra = spark.createDataFrame([("75056", "PARIS", "75000", "PARIS")],
+                                  "co_insee string, lb_l5_nn string, co_postal string, lb_l6 string")
+    return R.append(main.withColumn("part", F.lit("main")), errs.withColumn("part", F.lit("errors")),
+                    extra.withColumn("part", F.lit("extra"))).select(*cols, "part")
+
+
+@query("csv_reports", f"""
+WITH {PARITY_SQL.strip()},
+k AS ({sql_one_to_one('l', 'r', 'l.court = r.court')})
+SELECT r.rid AS id_pseudo_fpb, r.ref AS id_fantoir, length(r.court) AS court_len,
+       CASE WHEN CAST(r.rid AS BIGINT) % 3 = 0 THEN '1' END AS app
+FROM r WHERE r.rid NOT IN (SELECT rid FROM k)
+""")
+def csv_reports(spark, sf):
+    """Unmatched right groups exported for review (sorted, previous
+    decisions joined back), written as ';' CSV and read back."""
+    l, r = doc_groups(spark, sf)
+    links = m5().run(l, r).select("lid", "rid")
+    un = R.unmatched(r, links, "rid")
+    decisions = r.select(F.col("rid").alias("id_pseudo_fpb"),
+                         F.when(F.col("rid").cast("bigint") % 3 == 0, F.lit("1")).alias("app"))
+    rep = (un.select(F.col("rid").alias("id_pseudo_fpb"), F.col("ref").alias("id_fantoir"),
+                     F.length("court").alias("court_len"))
+           .join(decisions, "id_pseudo_fpb", "left").orderBy("id_fantoir"))
+    path = scratch_dir(spark, "review")
+    K.write_csv(rep, path)
+    back = SR.read_csv_table(spark, path, "id_pseudo_fpb string, id_fantoir string, court_len int, app string")
+    return back.select("id_pseudo_fpb", "id_fantoir", F.col("court_len").cast("long").alias("court_len"), "app")
