@@ -47,8 +47,8 @@ def ign_sides(fantoir: DataFrame, ign_group: DataFrame, labels: DataFrame, types
     right = ign_group.select(F.col("id_pseudo_fpb").cast("string").alias("rid"),
                              F.col("code_insee").alias("block"), F.col("nom_maj").alias("name"),
                              F.col("id_fantoir").cast("string").alias("ref"), "nom", "insee_obs")
-    left = with_types(with_labels(left, labels), types).withColumn("tri", T.trigrams("court"))
-    right = with_types(with_labels(right, labels), types).withColumn("tri", T.trigrams("court"))
+    left = with_types(with_labels(left, labels), types).withColumn("tri", T.trigram_codes("court"))
+    right = with_types(with_labels(right, labels), types).withColumn("tri", T.trigram_codes("court"))
     # Former municipality name through the merger table
     if fusion is not None:
         fu = fusion.select(F.col("insee_old").alias("insee_obs"), "nom_old")
