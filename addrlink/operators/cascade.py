@@ -157,6 +157,8 @@ def run_cascade(left: DataFrame, right: DataFrame, passes: list, purge_doubles:
     to string in the links table.
     """
     spark = left.sparkSession
+    # both sides are read by every pass (candidate anti-joins): compute once
+    left, right = left.persist(), right.persist()
     links = spark.createDataFrame([], LINK_SCHEMA)
     for i, p in enumerate(passes, start=1):
         lc = unmatched(left, links, "lid")
