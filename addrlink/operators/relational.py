@@ -42,7 +42,9 @@ def unmatched(cands: DataFrame, links: DataFrame, key: str | Sequence[str],
     k = _cols(key)
     lk = _cols(link_key) if link_key is not None else k
     right = links.select(*[F.col(a).alias(b) for a, b in zip(lk, k)])
-    right = right.dropna(subset=k).distinct()
+    # no distinct: duplicate keys do not change an anti join, and skipping it
+    # saves a shuffle per call (twice per cascade pass)
+    right = right.dropna(subset=k)
     return cands.join(right, k, "left_anti")
 
 
