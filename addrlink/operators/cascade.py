@@ -31,7 +31,7 @@ from typing import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, persist_scratch, release_scratch
 from .relational import drop_ambiguous, unmatched
 
 LINK_SCHEMA = "lid string, rid string, rule string, ref string, trigram float, levenshtein float, step int"
@@ -96,7 +96,7 @@ class OneToOnePass:
                    F.max("ref").alias("ref")))
         # label-level (one row per distinct key): read by the finder and the
         # count join; persisted so the side is aggregated once per pass
-        la, ra = la.persist(), ra.persist()
+        la, ra = persist_scratch(la), persist_scratch(ra)
         pairs = self.finder(la, ra)
         scores = [c for c in ("trigram", "levenshtein") if c in pairs.columns]
         pairs = (pairs.join(la.select("block", "lk", "nl", "lid"), ["block", "lk"])
@@ -110,8 +110,8 @@ class OneToOnePass:
             g = g.filter(F.col("ref").isNotNull() & (F.col("ref") == F.col("lid")))
         if self.drop_doubles:
             # the A5 anti-joins read the pass result twice each: keep it once
-            g = g.persist()
-            g = drop_ambiguous(drop_ambiguous(g, "lid").persist(), "rid")
+            g = persist_scratch(g)
+            g = drop_ambiguous(persist_scratch(drop_ambiguous(g, "lid")), "rid")
         for c in ("trigram", "levenshtein"):
             if c not in g.columns:
                 g = g.withColumn(c, F.lit(None))
@@ -170,7 +170,8 @@ def run_cascade(left: DataFrame, right: DataFrame, passes: list, purge_doubles:
             F.lit(i).alias("step"))
         links = links.unionByName(new)
         if checkpoint:
-            links = cut_lineage(links)
+            links = cut_lineage(links)   # eager: the pass is materialised
+            release_scratch()
     if purge_doubles:
         links = drop_ambiguous(links, "lid")
     return CascadeResult(links, unmatched(left, links, "lid"), unmatched(right, links, "rid"))

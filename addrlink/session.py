@@ -80,3 +80,20 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False
         if df.rdd.getNumPartitions() < want:
             df = df.repartition(want, df.columns[0])
     return df
+
+
+# Intermediate frames persisted inside one cascade pass (label-level
+# aggregates, similarity-join inputs).  ``run_cascade`` releases them once the
+# pass's links are checkpointed, so caches do not pile up over many passes.
+_SCRATCH: list[DataFrame] = []
+
+
+def persist_scratch(df: DataFrame) -> DataFrame:
+    df = df.persist()
+    _SCRATCH.append(df)
+    return df
+
+
+def release_scratch() -> None:
+    while _SCRATCH:
+        _SCRATCH.pop().unpersist()
