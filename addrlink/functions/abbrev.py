@@ -63,7 +63,10 @@ class AbbrevDict:
         small = df.select(long_col, short_col).limit(MAX_DICTIONARY_ROWS + 1).collect()
         return AbbrevDict.from_pairs([(r[0], r[1]) for r in small])
 
-    def literal_pattern(self) -> str:
+    def literal_pattern(self, trie: bool = False) -> str:
+        if trie:
+            from .text import trie_alt
+            return "\\b(" + trie_alt(a for a, _ in self.literal) + ")\\b"
         return "\\b(" + "|".join(re.escape(a) for a, _ in self.literal) + ")\\b"
 
 
@@ -72,7 +75,7 @@ def abbreviate_once(c, d: AbbrevDict) -> Column:
     c = _c(c)
     out = c
     if d.literal:
-        pat = "(?s)^(.*?)" + d.literal_pattern()
+        pat = "(?s)^(.*?)" + d.literal_pattern(trie=True)
         prefix = F.regexp_extract(c, pat, 1)
         hit = F.regexp_extract(c, pat, 2)
         kv = []

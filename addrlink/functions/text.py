@@ -129,6 +129,33 @@ def alt(words: Iterable[str], escape: bool = False) -> str:
     return "|".join(ws)
 
 
+def trie_alt(words: Iterable[str]) -> str:
+    """Alternation factored as a prefix trie (same matches as ``alt``).
+
+    At a given position the terms that can match form a chain of prefixes;
+    greedy optional continuations try the longer ones first and backtrack to
+    shorter ones, exactly like a longest-first alternation, but the engine
+    follows one branch per character instead of testing every term.
+    """
+    trie: dict = {}
+    for w in set(words):
+        node = trie
+        for ch in w:
+            node = node.setdefault(ch, {})
+        node[""] = {}
+
+    def emit(node: dict) -> str:
+        ends = "" in node
+        branches = [re.escape(ch) + emit(child) for ch, child in sorted(node.items()) if ch != ""]
+        if not branches:
+            return ""
+        body = branches[0] if len(branches) == 1 else "(?:" + "|".join(branches) + ")"
+        if ends:
+            return "(?:" + body + ")?"
+        return body
+    return emit(trie)
+
+
 # --------------------------------------------------------------------------
 # Generic helpers
 # --------------------------------------------------------------------------
@@ -366,7 +393,7 @@ def apply_ordinals(c: ColumnOrName) -> Column:
     for v, w in ordinal_words():
         by_words.setdefault(w, v)
     c = _c(c)
-    spelled = " (" + alt(by_words) + ")(E|ES|S|)( |$)"
+    spelled = " (" + trie_alt(by_words) + ")(E|ES|S|)( |$)"
     numeric = " (100[0-6]|[1-9][0-9]{0,2})( EME| EM|EME|EM)(E|ES|S|)( |$)"
     kv = []
     for w, v in sorted(by_words.items()):
