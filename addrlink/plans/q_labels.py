@@ -24,10 +24,13 @@ SELECT DISTINCT long, court FROM s WHERE long IS NOT NULL AND long <> ''
 def label_clean(spark, sf):
     """nom_maj, A-Z/0-9 cleaning, distinct labels."""
     d = read_table(spark, sf, "documents", spread=True).select(T.nom_maj("text").alias("long"))
+    # distinct long names first: court is a function of long, so the label
+    # chain runs once per distinct name and the shuffle carries one text
+    d = d.filter(~T.is_blank("long")).distinct()
     c = F.col("long")
     c0 = F.when(c.rlike("[^A-Z 0-9]"), T.keep_alnum(c)).otherwise(c)
     out = d.withColumn("court", c0).withColumn("court", F.trim(T.drop_star("court")))
-    return out.filter(~T.is_blank("long")).select("long", "court").distinct()
+    return out.select("long", "court")
 
 
 # ------------------------------------------------------------------ label_articles
