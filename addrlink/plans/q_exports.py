@@ -4,13 +4,11 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import sqlfrag as S
 from ..catalog import query
 from ..functions import text as T
-from ..operators import cascade as C
 from ..operators import relational as R
 from ..session import ensure_checkpoint_dir, read_table
 from ..sinks import ndjson as K
