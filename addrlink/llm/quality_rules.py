@@ -104,33 +104,38 @@ def sketch(measured: DataFrame) -> DataFrame:
             .groupBy("lang", "source", "measure", "bucket").agg(F.count("*").alias("n")))
 
 
-def limits(merged: DataFrame, keys: list[str], fence: int) -> DataFrame:
-    """q75 + fence * max(q75 - q25, least) per key and measure, one column each, and the rows ``n``."""
-    w = Window.partitionBy(*keys, "measure")
+def limits(sketched: DataFrame, fence: int) -> DataFrame:
+    """Per level, group and measure: q75 + fence * max(q75 - q25, least), and the group's rows.
+
+    Level 2 is (lang, source), level 1 the language, level 0 the corpus.
+    """
+    levels = F.explode(F.array(*[F.lit(x) for x in (0, 1, 2)])).alias("level")
+    merged = (sketched.select("*", levels)
+              .withColumns({"lang": F.when(F.col("level") > 0, F.col("lang")),
+                            "source": F.when(F.col("level") > 1, F.col("source"))})
+              .groupBy("level", "lang", "source", "measure", "bucket").agg(F.sum("n").alias("n")))
+    w = Window.partitionBy("level", "lang", "source", "measure")
     df = merged.withColumns({"_all": F.sum("n").over(w),
                              "_to": F.sum("n").over(w.orderBy("bucket"))})
     at = lambda quarter: F.min(F.when(4 * F.col("_to") >= quarter * F.col("_all"), F.col("bucket")))
-    q = df.groupBy(*keys, "measure").agg(at(1).alias("q25"), at(3).alias("q75"), F.max("_all").alias("n"))
-    one = lambda m, c: F.max(F.when(F.col("measure") == m, c))
-    return q.groupBy(*keys).agg(F.max("n").alias("n"), *[
-        one(m, F.col("q75") + fence * F.greatest(F.col("q75") - F.col("q25"), F.lit(least))).alias(m)
-        for m, least in MEASURES.items()])
+    df = df.groupBy("level", "lang", "source", "measure").agg(
+        at(1).alias("q25"), at(3).alias("q75"), F.max("_all").alias("n"))
+    least = F.create_map(*[F.lit(x) for pair in MEASURES.items() for x in pair])[F.col("measure")]
+    return df.withColumn("limit", F.col("q75") + fence * F.greatest(F.col("q75") - F.col("q25"), least))
 
 
 def thresholds(sketched: DataFrame, min_rows: int = MIN_GROUP_ROWS, fence: int = FENCE) -> DataFrame:
     """Upper limits per (lang, source): its own, its language's or the corpus's."""
-    merge = lambda *keys: sketched.groupBy(*keys, "measure", "bucket").agg(F.sum("n").alias("n"))
-    name = lambda p: {"n": p + "n"} | {m: p + m for m in MEASURES}
-    own = limits(sketched, ["lang", "source"], fence).withColumnsRenamed(name("own_"))
-    by_lang = limits(merge("lang"), ["lang"], fence).withColumnsRenamed(name("lang_") | {"lang": "lang_"})
-    # the corpus has one row: joined through a constant key
-    corpus = limits(merge(F.lit(1).alias("_k")), ["_k"], fence).withColumnsRenamed(name("all_"))
-    out = (own.join(by_lang, own["lang"].eqNullSafe(by_lang["lang_"]))
-           .withColumn("_k", F.lit(1)).join(corpus, "_k"))
-    return out.select("lang", "source", *[
-        F.when(F.col("own_n") >= min_rows, F.col("own_" + m))
-        .when(F.col("lang_n") >= min_rows, F.col("lang_" + m))
-        .otherwise(F.col("all_" + m)).alias("max_" + m) for m in MEASURES])
+    limit = limits(sketched, fence).withColumnsRenamed({"lang": "l", "source": "s"})
+    groups = sketched.select("lang", "source").distinct().select(
+        "lang", "source", F.explode(F.array(*[F.lit(x) for x in (0, 1, 2)])).alias("k"))
+    df = groups.join(limit, (F.col("k") == F.col("level"))
+                     & F.when(F.col("k") > 0, F.col("lang")).eqNullSafe(F.col("l"))
+                     & F.when(F.col("k") > 1, F.col("source")).eqNullSafe(F.col("s")))
+    # the finest level with enough rows; the corpus always counts
+    fits = F.when((F.col("level") == 0) | (F.col("n") >= min_rows), F.col("level"))
+    return df.groupBy("lang", "source").agg(*[
+        F.max_by("limit", F.when(F.col("measure") == m, fits)).alias("max_" + m) for m in MEASURES])
 
 
 def judge(docs: DataFrame, min_rows: int = MIN_GROUP_ROWS, fence: int = FENCE) -> DataFrame:

@@ -5,11 +5,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import quality_rules
+from . import bpe, packing, quality_rules, simhash
 from .common import table
 
 
+def tokenizer(spark: SparkSession, name: str):
+    """A public tokenizer file, sent to the executors."""
+    import public_tokenizers
+
+    return bpe.shared(spark, public_tokenizers.path(name))
+
+
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base rules and adaptive thresholds for every document."""
     return quality_rules.judge(table(spark, sf_dir, "documents")).select(
@@ -17,8 +25,31 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept")
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    return simhash.classes(table(spark, sf_dir, "documents"))
+
+
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of the ids of every document and of the text decoded from them."""
+    vocabulary = tokenizer(spark, "byte_bpe_50k.json")
+    docs = table(spark, sf_dir, "documents").select("doc_id", bpe.encode(F.col("text"), vocabulary).alias("ids"))
+    return docs.select(
+        "doc_id", F.expr("cast(octet_length(ids) as bigint) div 4").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(bpe.decode(F.col("ids"), vocabulary), 256).alias("decoded_sha256"))
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its place in a sequence of 2048 tokens."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer(spark, "word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op6_simhash": op6_simhash,
+    "op7_bpe": op7_bpe,
+    "op9_packing": op9_packing,
 }
 
 ORACLES: dict[str, str] = {}
