@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, packing, quality_classifier, quality_rules, simhash, url_filter
+from . import bpe, embedding_dedup, langid, packing, quality_classifier, quality_rules, simhash, url_filter
 from .common import table
 
 
@@ -25,6 +25,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept")
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and near-duplicate component of every vector."""
+    return embedding_dedup.link(table(spark, sf_dir, "embeddings"))
+
+
 #: The rules of the url query: host, path, verdict.
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
              ("com", "/fr/", "allow"), ("com", "/de/", "block")]
@@ -68,6 +73,7 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_embedding_dedup": op2_embedding_dedup,
     "op4_url_filter": op4_url_filter,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_simhash": op6_simhash,
