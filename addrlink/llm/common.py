@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +19,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def literal_rows(spark: SparkSession, rows: list[tuple], names: str) -> DataFrame:
+    """A small table written into the plan itself; ``names`` as in a struct type."""
+    columns = [n.split(":")[0].strip() for n in names.split(",")]
+    text = json.dumps([dict(zip(columns, r)) for r in rows])
+    one = F.explode(F.from_json(F.lit(text), f"array<struct<{names}>>")).alias("r")
+    return spark.range(1).select(one).select("r.*")
+
+
 def words_of(text: Column) -> Column:
     """Array of the words of ``text``; empty for null."""
     text = F.coalesce(text, F.lit(""))

@@ -32,6 +32,8 @@ from . import bpe
 
 CAPACITY = 2048
 END = 0
+#: Intervals that are broadcast at most (40 bytes each); beyond it the join shuffles.
+BROADCAST_ROWS = 100_000
 
 
 def cut_pieces(docs: DataFrame, vocabulary, capacity: int = CAPACITY, end: int = END) -> DataFrame:
@@ -116,8 +118,10 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
               pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most ``capacity`` rows
     if any(not 1 <= n <= capacity for n in counts):
         raise ValueError(f"piece lengths must be from 1 to {capacity}")
-    intervals = spark.createDataFrame(
-        plan(counts, capacity) or [], "length long, lo long, hi long, sequence long, offset long")
+    rows = plan(counts, capacity)
+    intervals = spark.createDataFrame(rows, "length long, lo long, hi long, sequence long, offset long")
+    if len(rows) <= BROADCAST_ROWS:
+        intervals = F.broadcast(intervals)
     df = ranked(pieces).join(intervals, "length").where("rank >= lo and rank < hi")
     return (df.withColumn("sequence_id", F.col("sequence") + F.col("rank") - F.col("lo"))
             .select(*pieces.columns, "sequence_id", "offset"))

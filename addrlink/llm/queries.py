@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, embedding_dedup, langid, packing, quality_classifier, quality_rules, simhash, url_filter
+from . import (bpe, embedding_dedup, html_extract, langid, license_scan, packing, quality_classifier,
+               quality_rules, simhash, url_filter)
 from .common import table
+from .oracles import ORACLES  # noqa: F401
 
 
 def tokenizer(spark: SparkSession, name: str):
@@ -30,6 +32,11 @@ def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.link(table(spark, sf_dir, "embeddings"))
 
 
+def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 #: The rules of the url query: host, path, verdict.
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
              ("com", "/fr/", "allow"), ("com", "/de/", "block")]
@@ -61,6 +68,11 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(bpe.decode(F.col("ids"), vocabulary), 256).alias("decoded_sha256"))
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every paragraph of a document that states a licence."""
+    return license_scan.scan(table(spark, sf_dir, "documents")).where("confirmed").drop("confirmed")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document with its place in a sequence of 2048 tokens."""
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer(spark, "word_bpe_49k.json"))
@@ -74,12 +86,12 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_embedding_dedup": op2_embedding_dedup,
+    "op3_html_extract": op3_html_extract,
     "op4_url_filter": op4_url_filter,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_simhash": op6_simhash,
     "op7_bpe": op7_bpe,
+    "op8_license_scan": op8_license_scan,
     "op9_packing": op9_packing,
     "op10_langid": op10_langid,
 }
-
-ORACLES: dict[str, str] = {}

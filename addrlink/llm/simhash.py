@@ -261,3 +261,15 @@ def classes(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS) -> DataF
     ids = reps.join(of_fp, "fp", "left").select("fp", F.coalesce("component_id", "rep").alias("component_id"))
     return (fps.join(ids, "fp")
             .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
+
+
+def keep_one(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """One row of each component of ``docs``: the one with the smallest doc_id, same columns.
+
+    Of several rows with that id one stays; rows without an id stay (nothing
+    tells which of them is meant).
+    """
+    found = classes(docs, size, radius)
+    first = found.where("doc_id = component_id").select("doc_id").distinct()
+    kept = docs.where("doc_id is not null").join(first, "doc_id", "left_semi")
+    return kept.dropDuplicates(["doc_id"]).select(*docs.columns).unionByName(docs.where("doc_id is null"))

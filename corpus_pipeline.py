@@ -1,4 +1,8 @@
-"""Corpus pipeline: quality rules, quality classifier, near-duplicates, packing."""
+"""Corpus pipeline: quality rules, quality classifier, near-duplicates, packing.
+
+Every stage takes (spark, docs, sf_dir) and works on all that its predecessor
+kept; all but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +10,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from addrlink.llm import quality_rules
+from addrlink.llm import packing, quality_classifier, quality_rules, simhash
+from addrlink.llm.common import table
+from addrlink.llm.queries import tokenizer
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -14,16 +20,37 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep(docs)
 
 
+def classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents predicted to be of good quality.
+
+    The model learns from the labelled rows of the whole table: after the rules
+    hardly a bad example is left in ``docs``.
+    """
+    model = quality_classifier.train(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return quality_classifier.keep(docs, model)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group: the one with the smallest doc_id."""
+    return simhash.keep_one(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the documents with their places in the sequences."""
+    return packing.pack_documents(docs, tokenizer(spark, "word_bpe_49k.json"))
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("quality_rules", rules),
+    ("quality_rules", rules), ("quality_classifier", classifier),
+    ("simhash", near_duplicates), ("packing", pack),
 ]
 
-#: Learned scores cannot be written in SQL; the tests hold the stages against brute force.
+#: Learned scores and tokenizers cannot be written in SQL; the tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
     return docs
