@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -15,10 +16,21 @@ from addrlink.session import cut_lineage
 OTHER_SPACES = "\t\n\x0b\x0c\r"
 
 
+#: Characters of text that a task works on at a time.
+STEP_CHARS = 2_000_000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spare(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one that ``df`` does not have."""
+    while name.lower() in [c.lower() for c in df.columns]:
+        name += "_"
+    return name
+
+
 def literal_rows(spark: SparkSession, rows: list[tuple], names: str) -> DataFrame:
     """A small table written into the plan itself; ``names`` as in a struct type."""
     columns = [n.split(":")[0].strip() for n in names.split(",")]
@@ -53,6 +65,20 @@ def texts(batch: pd.Series) -> list[str]:
     return ["" if t is None or t != t else t for t in batch]
 
 
+def text_parts(batches: Iterator[pd.Series], step: int = STEP_CHARS) -> Iterator[list[str]]:
+    """The texts of Arrow batches in lists of about ``step`` characters, whatever the batch holds."""
+    for batch in batches:
+        held, n = [], 0
+        for text in texts(batch):
+            held.append(text)
+            n += len(text)
+            if n >= step:
+                yield held
+                held, n = [], 0
+        if held:
+            yield held
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Smallest node reachable from every node that has an edge.
 

@@ -33,11 +33,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from .common import texts
+from .common import text_parts
 
 TRAIN_PAGES = 700
 TREES, DEPTH, RATE, BINS = 40, 4, 0.3, 32
-STEP_CHARS = 2_000_000
 
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>|</([a-zA-Z][^\s/>]*+)[^>]*+>"""
                  r"""|<([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<([a-zA-Z][^\s/>]*+)([^>]*+)>""", re.S)
@@ -320,21 +319,13 @@ def decode(log_odds: np.ndarray, parent: np.ndarray, depth: np.ndarray) -> np.nd
 
 def main_texts(sources: list[str], model: Trees) -> list[str]:
     """Main text of every page."""
-    out, held, n = [], [], 0
-
-    def done() -> list[str]:
-        x, parent, depth = features(held)
-        keep = decode(model.log_odds(x), parent, depth)
-        ends = np.cumsum([len(p.parent) for p in held])
-        return [p.text(k) for p, k in zip(held, np.split(keep, ends[:-1]))]
-
-    for source in sources:
-        held.append(Page(source))
-        n += len(source)
-        if n > STEP_CHARS:
-            out += done()
-            held, n = [], 0
-    return out + (done() if held else [])
+    if not sources:
+        return []
+    pages = [Page(s) for s in sources]
+    x, parent, depth = features(pages)
+    keep = decode(model.log_odds(x), parent, depth)
+    ends = np.cumsum([len(p.parent) for p in pages])
+    return [p.text(k) for p, k in zip(pages, np.split(keep, ends[:-1]))]
 
 
 # -- pages to learn from
@@ -493,8 +484,8 @@ def extract(pages: DataFrame) -> DataFrame:
 
     @pandas_udf("string")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield pd.Series(main_texts(texts(batch), shared.value), dtype=object)
+        for part in text_parts(batches):
+            yield pd.Series(main_texts(part, shared.value), dtype=object)
 
     return pages.select("page_id", "url", of("html").alias("text")).withColumn(
         "n_chars", F.char_length("text").cast("long"))

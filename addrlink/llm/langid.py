@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from .common import fold_of, texts
+from .common import fold_of, spare, text_parts
 
 #: Words of the dictionary, n-grams kept of each length, and the longest n-gram.
 WORDS = 40_000
@@ -73,6 +73,12 @@ def word_counts(rows: DataFrame) -> DataFrame:
     return counted.groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
+def ngrams(word: str, n: int) -> list[str]:
+    """Runs of n characters; but for single characters the word's two ends count as spaces."""
+    padded = f" {word} " if n > 1 else word
+    return [padded[i:i + n] for i in range(len(padded) - n + 1)]
+
+
 @dataclass
 class Model:
     langs: list[str]
@@ -86,10 +92,9 @@ class Model:
         """Scores of a word in every language; None if nothing of it is known."""
         if w in self.words:
             return self.words[w]
-        padded = f" {w} "
         for n in range(len(self.ngrams), 0, -1):
             table = self.ngrams[n - 1]
-            found = [table[g] for i in range(len(padded) - n + 1) if (g := padded[i:i + n]) in table]
+            found = [table[g] for g in ngrams(w, n) if g in table]
             if found:
                 return np.mean(found, axis=0)
         return None
@@ -142,25 +147,26 @@ def train(rows: DataFrame, n_words: int = WORDS, n_ngrams: int = NGRAMS, longest
         for x in r["of"]:
             n[column[x["lang"]]] = x["n"]
         words[r["word"]] = n
-        padded = f" {r['word']} "
         for k in range(1, longest + 1):
-            for i in range(len(padded) - k + 1):
-                grams[k - 1][padded[i:i + k]] += n
+            for g in ngrams(r["word"], k):
+                grams[k - 1][g] += n
     kept = [dict(sorted(g.items(), key=lambda x: (-x[1].sum(), x[0]))[:n_ngrams]) for g in grams]
     return Model(langs, logs(words), [logs(g) for g in kept])
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``."""
+    """``docs`` with ``lang_pred`` and ``score`` (in place of columns of these names)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by WORDS and NGRAMS
 
     @pandas_udf("lang_pred string, score double")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         m = shared.value
-        for batch in batches:
-            yield pd.DataFrame([m.predict(t) for t in texts(batch)], columns=["lang_pred", "score"])
+        for part in text_parts(batches):
+            yield pd.DataFrame([m.predict(t) for t in part], columns=["lang_pred", "score"])
 
-    return docs.withColumn("_of", of("text")).select(*docs.columns, "_of.lang_pred", "_of.score")
+    name, new = spare(docs, "of"), ("lang_pred", "score")
+    return docs.withColumn(name, of("text")).select(
+        *[c for c in docs.columns if c not in new], *[F.col(name)[c].alias(c) for c in new])
 
 
 def identify(docs: DataFrame) -> DataFrame:

@@ -15,8 +15,8 @@ _MEASURED = {
 OP1 = rf"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS t,
-         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') AS ws,
-         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
+         [x for x in string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+') if x <> ''] AS ws,
+         [x for x in string_split(coalesce(text, ''), chr(10)) if regexp_matches(x, '[^\x20\x09-\x0D]')] AS ls
   FROM documents),
 win AS (
   SELECT rid, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS g
@@ -72,8 +72,8 @@ OP2 = """
 WITH RECURSIVE v AS (
   SELECT row_number() OVER () AS rid, vec_id, embedding::DOUBLE[] AS x FROM embeddings
   WHERE vec_id IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, y -> y IS NULL OR NOT isfinite(y))) = 0
-    AND len(list_filter(embedding, y -> y <> 0)) > 0),
+    AND len([y for y in embedding if y IS NULL OR NOT isfinite(y)]) = 0
+    AND len([y for y in embedding if y <> 0]) > 0),
 link AS (
   SELECT a.rid AS ra, a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
   ON a.rid <> b.rid AND len(a.x) = len(b.x) AND list_cosine_similarity(a.x, b.x) >= 0.9),

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from .common import fold_of, texts
+from .common import fold_of, text_parts
 
 #: Labelled rows that are learned from at most (those with the smallest hash of doc_id).
 TRAIN_ROWS = 4000
@@ -99,16 +99,6 @@ class Model:
             out.append(float(1 / (1 + np.exp(-np.clip(x, -500, 500)))))
         return out
 
-    def scores(self, batch: list[str], step: int = 2_000_000) -> Iterator[float]:
-        held, n = [], 0
-        for text in batch:
-            held.append(text)
-            n += len(text)
-            if n > step:
-                yield from self.score(held)
-                held, n = [], 0
-        yield from self.score(held)
-
 
 def fit(samples: list[tuple[str, int]], seed: int = 7) -> Model:
     """Train on (text, label) pairs."""
@@ -180,8 +170,8 @@ def score_of(text: Column, model: Model) -> Column:
     @pandas_udf("double")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         m = shared.value
-        for batch in batches:
-            yield pd.Series(list(m.scores(texts(batch))), dtype="float64")
+        for part in text_parts(batches):
+            yield pd.Series(m.score(part), dtype="float64")
 
     return of(text)
 

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from addrlink.session import cut_lineage
 
-from .common import row_key, words_of
+from .common import row_key, spare, words_of
 
 #: Fixed cutoffs of the base rules.
 MIN_WORDS = 50
@@ -156,6 +156,7 @@ def judge(docs: DataFrame, min_rows: int = MIN_GROUP_ROWS, fence: int = FENCE) -
 
 def keep(docs: DataFrame) -> DataFrame:
     """``docs`` without the rejected rows, same columns."""
-    rejected = judge(docs).where("not kept").select("row_key").distinct()
+    name = spare(docs, "row_key")
+    rejected = judge(docs).where("not kept").select(F.col("row_key").alias(name)).distinct()
     key = row_key(docs, ["doc_id", "text", "lang", "source"])
-    return docs.withColumn("row_key", key).join(rejected, "row_key", "left_anti").select(*docs.columns)
+    return docs.withColumn(name, key).join(rejected, name, "left_anti").select(*docs.columns)

@@ -35,7 +35,7 @@ from pyspark.sql.functions import pandas_udf
 
 from addrlink.session import cut_lineage
 
-from .common import UnionFind, components, texts
+from .common import UnionFind, components, text_parts
 
 SHINGLE = 4
 RADIUS = 4
@@ -76,8 +76,8 @@ def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """doc_id and the fingerprint ``fp`` (long) of every row."""
     @pandas_udf("long")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            yield pd.Series([majority(shingle_hashes(t, size)) for t in texts(batch)], dtype="int64")
+        for part in text_parts(batches):
+            yield pd.Series([majority(shingle_hashes(t, size)) for t in part], dtype="int64")
 
     return docs.select("doc_id", of("text").alias("fp"))
 
