@@ -32,13 +32,12 @@ from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from .common import texts
+from .common import text_parts
 
 #: Longest word (bytes) that is encoded in the matrices.
 SHORT = 48
-#: Entries of a dictionary of pieces, and text characters encoded at a time.
-KNOWN = 300_000
-STEP_CHARS = 2_000_000
+#: Entries of a dictionary of pieces.
+KNOWN = 200_000
 NONE = np.int32(2**31 - 1)
 
 # fixed values of the byte-level vocabularies: the pieces of a text, and the
@@ -198,7 +197,7 @@ class Vocabulary:
                 out.update(zip((w for w, _ in part), self.merge_short(rows)))
         return out
 
-    # -- texts
+    # -- whole texts
 
     def normal(self, text: str) -> str:
         """NFC and lower case letter by letter (a final sigma gets no form of its own)."""
@@ -257,17 +256,6 @@ class Vocabulary:
         get = known.__getitem__
         return [b"".join(map(get, c)) for c in cut]
 
-    def encode(self, batch: list[str]) -> Iterator[bytes]:
-        """As encode_texts, a bounded number of characters at a time."""
-        held, n = [], 0
-        for text in batch:
-            held.append(text)
-            n += len(text)
-            if n >= STEP_CHARS:
-                yield from self.encode_texts(held)
-                held, n = [], 0
-        yield from self.encode_texts(held)
-
     def decode(self, ids: bytes) -> str:
         """Text of the ids; broken UTF-8 becomes U+FFFD."""
         of = self.bytes_of
@@ -296,8 +284,8 @@ def encode(text: Column, vocabulary) -> Column:
     @pandas_udf("binary")
     def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         v = loaded(vocabulary.value)
-        for batch in batches:
-            yield pd.Series(list(v.encode(texts(batch))), dtype=object)
+        for part in text_parts(batches):
+            yield pd.Series(v.encode_texts(part), dtype=object)
 
     return ids(text)
 
@@ -313,6 +301,18 @@ def decode(ids: Column, vocabulary) -> Column:
     return text(ids)
 
 
+def encode_decode(text: Column, vocabulary) -> Column:
+    """Struct of ``ids`` as from ``encode`` and ``decoded``, the text they decode to, in one pass."""
+    @pandas_udf("ids binary, decoded string")
+    def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        v = loaded(vocabulary.value)
+        for part in text_parts(batches):
+            ids = v.encode_texts(part)
+            yield pd.DataFrame({"ids": ids, "decoded": [v.decode(b) for b in ids]}, dtype=object)
+
+    return both(text)
+
+
 def id_array(ids: Column) -> Column:
     """The ids of a column from ``encode`` as an array of longs."""
     byte = lambda at: F.conv(F.hex(F.substring(ids, at, 1)), 16, 10).cast("long")

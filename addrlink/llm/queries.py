@@ -61,11 +61,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids of every document and of the text decoded from them."""
     vocabulary = tokenizer(spark, "byte_bpe_50k.json")
-    docs = table(spark, sf_dir, "documents").select("doc_id", bpe.encode(F.col("text"), vocabulary).alias("ids"))
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", bpe.encode_decode(F.col("text"), vocabulary).alias("x"))
     return docs.select(
-        "doc_id", F.expr("cast(octet_length(ids) as bigint) div 4").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(bpe.decode(F.col("ids"), vocabulary), 256).alias("decoded_sha256"))
+        "doc_id", F.expr("cast(octet_length(x.ids) as bigint) div 4").alias("n_tokens"),
+        F.sha2("x.ids", 256).alias("ids_sha256"), F.sha2("x.decoded", 256).alias("decoded_sha256"))
 
 
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
