@@ -87,7 +87,7 @@ def plan(pieces_of: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int,
             if gap:
                 gaps[gap].append((sequence, n))
         if not matched:
-            need = int(max(-(-(left * lengths).sum() // capacity), left[capacity // 2 + 1:].sum()))
+            need = int(max(-(-(left * lengths).sum() // capacity // 2), left[capacity // 2 + 1:].sum(), 1))
             for size in range(capacity, 0, -1):
                 m = min(need, int(left[size]))
                 if m:

@@ -68,6 +68,7 @@ def test_odd_rows(spark, odd_docs, no_docs, odd_rows):
     assert sorted((r["doc_id"] or 0, r["paragraph"]) for r in rows) == [(0, 0), (1, 0), (1, 0), (2, 1), (2, 2)]
 
 
-def test_no_python_in_the_plan(spark, model, odd_docs):
-    plan = s.scan(odd_docs, model)._jdf.queryExecution().executedPlan().toString()
+def test_no_python_in_the_plan(spark, model):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    plan = s.scan(docs, model)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas", "Cartesian", "ExistingRDD"))
