@@ -12,6 +12,11 @@ the dictionary, a small bounded input, is compiled once into
 Each pass rewrites at most one occurrence per label (the reference's
 one-rule-per-row UPDATE); rule choice is deterministic: leftmost hit, longest
 term at that position.
+
+That is for curated dictionaries, whose pairs are given as Python values.  A
+dictionary that is a table, of whatever size, is joined instead
+(``abbreviate_join``): the words of a label meet the first words of the terms
+in an equi-join, with the same choice of rule and the same result.
 """
 
 from __future__ import annotations
@@ -24,7 +29,8 @@ from pyspark.sql import functions as F
 
 from .text import _c, shift_groups
 
-MAX_DICTIONARY_ROWS = 20_000
+#: Characters of a word, as the word boundary of the patterns has them.
+WORD = r"[\p{L}\p{Nd}_]"
 _META = re.compile(r"[\\^$.|?*+()\[\]{}]")
 
 # A small sample dictionary of our own (long form -> short form); the real one
@@ -47,8 +53,6 @@ class AbbrevDict:
     @staticmethod
     def from_pairs(pairs) -> "AbbrevDict":
         pairs = [(str(a), str(b)) for a, b in pairs if a]
-        if len(pairs) > MAX_DICTIONARY_ROWS:
-            raise ValueError(f"dictionary too large to compile: {len(pairs)} rows")
         lit, rx = {}, {}
         for a, b in pairs:
             (rx if _META.search(a) else lit).setdefault(a, b)
@@ -56,13 +60,6 @@ class AbbrevDict:
         return AbbrevDict(tuple(sorted(lit.items(), key=by_len)),
                           tuple(sorted(rx.items(), key=by_len)))
 
-    @staticmethod
-    def from_dataframe(df: DataFrame, long_col: str = "txt_long",
-                       short_col: str = "txt_court") -> "AbbrevDict":
-        """Compile a dictionary table; its size is checked before it is fetched."""
-        small = df.select(long_col, short_col).limit(MAX_DICTIONARY_ROWS + 1).collect()
-        return AbbrevDict.from_pairs([(r[0], r[1]) for r in small])
-
     def literal_pattern(self, trie: bool = False) -> str:
         if trie:
             from .text import trie_alt
@@ -102,3 +99,46 @@ def abbreviate(c, d: AbbrevDict, rounds: int = 4) -> Column:
 
 def sample_dictionary() -> AbbrevDict:
     return AbbrevDict.from_pairs(SAMPLE_ABBREV)
+
+
+def abbreviate_join(df: DataFrame, col: str, dictionary: DataFrame, long_col: str = "txt_long",
+                    short_col: str = "txt_court", rounds: int = 4) -> DataFrame:
+    """T18 / J8 with a dictionary table of literal terms: ``col`` abbreviated in ``rounds`` passes.
+
+    Every distinct label is split into its words and their places; a word
+    meets the terms that begin with it (one row per first word), and a term
+    hits where the label goes on with it and a word ends there.  Nothing of
+    the dictionary is collected.  Terms begin and end with a letter, digit or
+    underscore; of two shorts for one term the smaller is used.
+    """
+    lit = dictionary.select(F.col(long_col).alias("a"), F.col(short_col).alias("b")).dropna().filter("a <> ''")
+    lit = lit.groupBy("a").agg(F.min("b").alias("b"))
+    lit = lit.groupBy(F.regexp_extract("a", f"^{WORD}+", 0).alias("_w")).agg(
+        F.collect_list(F.struct("a", "b")).alias("_terms"))
+    labels = df.select(F.col(col).alias("_label")).dropna().distinct()
+    now = labels.withColumn("_out", F.col("_label"))
+    for _ in range(rounds):
+        words = now.withColumn("_p", F.explode(_word_places(F.col("_out"))))
+        words = words.select("_label", "_out", F.col("_p.at").alias("_i"), F.col("_p.s").alias("_w"))
+        hits = words.join(lit, "_w").withColumn("_t", F.explode(F.filter(
+            "_terms", lambda t: F.startswith(F.substr(F.col("_out"), F.col("_i")), t["a"]))))
+        after = F.substr(F.col("_out"), F.col("_i") + F.length("_t.a"), F.lit(1))
+        hits = hits.filter(~after.rlike(f"^{WORD}"))
+        first = hits.groupBy("_label").agg(F.min_by(
+            F.struct("_i", "_t"), F.struct(F.col("_i"), -F.length("_t.a"))).alias("_h"))
+        now = now.join(first, "_label", "left").select("_label", F.when(
+            F.col("_h").isNotNull(),
+            F.concat(F.substr(F.col("_out"), F.lit(1), F.col("_h._i") - 1), F.col("_h._t.b"),
+                     F.substr(F.col("_out"), F.col("_h._i") + F.length("_h._t.a")))).otherwise(F.col("_out")).alias("_out"))
+    out = df.join(now, df[col] == now["_label"], "left")
+    return out.withColumn(col, F.col("_out")).drop("_label", "_out")
+
+
+def _word_places(c: Column) -> Column:
+    """The words of a text (``s``) and where they begin, from 1 (``at``)."""
+    parts = F.regexp_extract_all(c, F.lit(f"({WORD}+|[^{WORD[1:]}+)"))
+    begin = F.struct(F.lit(1).alias("at"), F.array().cast("array<struct<at:int,s:string>>").alias("held"))
+    placed = F.aggregate(parts, begin, lambda acc, p: F.struct(
+        (acc["at"] + F.length(p)).alias("at"),
+        F.concat(acc["held"], F.array(F.struct(acc["at"].alias("at"), p.alias("s")))).alias("held")))
+    return F.filter(placed["held"], lambda e: e["s"].rlike(f"^{WORD}"))

@@ -1,9 +1,9 @@
 """Joins, per-key selection and aggregates used by every stage (J*, A*, W*, O*).
 
-All of these are DataFrame compositions; Catalyst picks the physical join.
-Small dictionary sides are broadcast only after their row count is checked
-(``broadcast_if_small``); everything else is left to sort-merge / AQE so that
-a hot key is split by the skew-join rule instead of landing in one task.
+All of these are DataFrame compositions; Catalyst picks the physical join, and
+AQE broadcasts a dictionary side from its measured bytes.  Larger joins stay
+sort-merge, so a hot key is split by the skew-join rule instead of landing in
+one task.
 """
 
 from __future__ import annotations
@@ -14,23 +14,12 @@ from typing import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BROADCAST_MAX_ROWS = 1_000_000
-
+from ..session import cut_lineage
 
 def _cols(keys: str | Sequence[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when it provably has at most ``max_rows`` rows.
-
-    The check counts at most ``max_rows + 1`` rows, so it stays cheap for a
-    big side; beyond the bound the plain (shuffled) join is kept.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 # ---------------------------------------------------------------- J3 J4 J5
 def unmatched(cands: DataFrame, links: DataFrame, key: str | Sequence[str],
               link_key: str | Sequence[str] | None = None) -> DataFrame:
@@ -106,33 +95,33 @@ def update_from(target: DataFrame, src: DataFrame, key: str | Sequence[str],
 
 
 # ---------------------------------------------------------------- J7
-def leading_terms(label: Column, max_words: int) -> Column:
-    """The first 1..max_words words of ``label`` (those followed by a space)."""
-    words = F.split(label, " ")
-    return F.transform(F.sequence(F.lit(1), F.least(F.size(words) - 1, F.lit(max_words))),
-                       lambda n: F.array_join(F.slice(words, 1, n), " "))
+def first_word(label: Column) -> Column:
+    """What stands before the first space (the whole label if there is none)."""
+    return F.substring_index(label, " ", 1)
 
 
 def join_leading_term(df: DataFrame, label_col: str, terms: DataFrame, term_col: str,
                       how: str = "inner", longest: bool = True) -> DataFrame:
-    """``label LIKE term || ' %'`` as an equi-join, not a nested loop.
+    """``label LIKE term || ' %'`` as an equi-join on the first word, not a nested loop.
 
-    Each label explodes into its leading 1..k word prefixes (k = most words
-    in a term) and is hash-joined to the (size-checked, broadcast) term set.
-    With ``longest`` one row per input row is kept: the longest matching
-    term (rows without a term survive a ``left`` join with NULL).
+    The terms of one first word are one row (a dictionary has a handful of
+    them), so the join multiplies nothing and ships no label twice; which of
+    them lead the label is then decided inside the row.  With ``longest`` one
+    row per input row is kept: the longest leading term (rows without a term
+    survive a ``left`` join with NULL); otherwise one row per leading term.
     """
     t = terms.select(F.col(term_col).alias("_term")).dropna().distinct()
-    k = t.select(F.max(F.size(F.split("_term", " "))).alias("k")).first()["k"] or 1
-    t = broadcast_if_small(t)
-    # resolve each distinct label once, then join back on the label itself
-    labels = df.select(F.col(label_col).alias("_label")).dropna().distinct()
-    ex = labels.select("_label", F.explode(leading_terms(F.col("_label"), int(k))).alias("_term"))
-    hits = ex.join(t, "_term", "inner")
+    t = t.groupBy(first_word(F.col("_term")).alias("_w")).agg(F.collect_list("_term").alias("_terms"))
+    out = df.withColumn("_fw", first_word(F.col(label_col))).join(t, F.col("_fw") == F.col("_w"), "left")
+    out = out.withColumn("_hit", F.filter("_terms", lambda x: F.startswith(
+        F.col(label_col), F.concat(x, F.lit(" ")))))
     if longest:
-        hits = hits.groupBy("_label").agg(F.max_by("_term", F.length("_term")).alias("_term"))
-    out = df.join(hits, df[label_col] == hits["_label"], "left" if how == "left" else "inner")
-    return out.drop("_label").withColumnRenamed("_term", term_col)
+        best = F.array_max(F.transform("_hit", lambda x: F.struct(F.length(x).alias("n"), x.alias("t"))))
+        out = out.withColumn(term_col, best["t"])
+    else:
+        out = out.withColumn(term_col, F.explode_outer("_hit"))
+    out = out.drop("_fw", "_w", "_terms", "_hit")
+    return out if how == "left" else out.filter(F.col(term_col).isNotNull())
 
 
 # ---------------------------------------------------------------- J16
@@ -189,22 +178,21 @@ def count_by(df: DataFrame, keys: Iterable[str] = (), cond: Column | None = None
 def assign_ids(df: DataFrame, order: Sequence[str], name: str = "id") -> DataFrame:
     """A10: dense surrogate ids 1..n in ``order`` without a single-partition window.
 
-    Rows are range-partitioned on the order, numbered inside their partition,
-    and shifted by the sizes of the preceding partitions (a tiny aggregate).
+    Rows are range-partitioned on the order and written to the checkpoint
+    folder, numbered inside their partition, and shifted by the sizes of the
+    preceding partitions (a tiny aggregate).  Ties are numbered in any order.
     """
     cols = list(order)
-    spark = df.sparkSession
-    n_parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ranged = df.repartitionByRange(n_parts, *cols).sortWithinPartitions(*cols)
-    ranged = ranged.withColumn("_pid", F.spark_partition_id())
-    w = Window.partitionBy("_pid").orderBy(*cols)
-    numbered = ranged.withColumn("_rn", F.row_number().over(w))
-    sizes = numbered.groupBy("_pid").agg(F.max("_rn").alias("_sz"))
-    offs = sizes.withColumn(
-        "_off", F.coalesce(F.sum("_sz").over(Window.orderBy("_pid")
-                                             .rowsBetween(Window.unboundedPreceding, -1)),
-                           F.lit(0)))
-    out = numbered.join(F.broadcast(offs.select("_pid", "_off")), "_pid")
+    n_parts = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    # written once: range bounds come from a sample, so a second evaluation
+    # could cut the rows elsewhere and numbers and sizes would not belong together
+    ranged = cut_lineage(df.repartitionByRange(n_parts, *cols).withColumn("_pid", F.spark_partition_id()))
+    sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_sz"))
+    offs = sizes.select("_pid", F.coalesce(
+        F.sum("_sz").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
+        F.lit(0)).alias("_off"))  # one row per partition
+    numbered = ranged.withColumn("_rn", F.row_number().over(Window.partitionBy("_pid").orderBy(*cols)))
+    out = numbered.join(offs, "_pid")
     return out.withColumn(name, (F.col("_off") + F.col("_rn")).cast("long")).drop("_pid", "_rn", "_off")
 
 

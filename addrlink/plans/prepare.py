@@ -1,7 +1,7 @@
 """Preparation of municipalities, streets and history.
 
 All functions take and return DataFrames; dictionaries are joined after a
-size check (``broadcast_if_small``).
+size check; AQE broadcasts them by their bytes.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import recode as RC
 from ..functions import text as T
-from ..operators.relational import broadcast_if_small, join_leading_term, one_per_key
+from ..operators.relational import join_leading_term, one_per_key
 
 
 def blank_to_empty(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -37,7 +37,7 @@ def redirect_insee(df: DataFrame, col: str, fusion: DataFrame, current: DataFram
     highest new code)."""
     fu = one_per_key(fusion.select("insee_old", "insee_new", "date"), "insee_old",
                      [-F.unix_date(F.to_date("date")), -F.col("insee_new").cast("long")])
-    fu = broadcast_if_small(fu.select(F.col("insee_old").alias("_old"), F.col("insee_new").alias("_new")))
+    fu = fu.select(F.col("insee_old").alias("_old"), F.col("insee_new").alias("_new"))
     cur = current.select(F.col(current_col).alias("_cur")).distinct().withColumn("_is_cur", F.lit(True))
     out = df.join(cur, df[col] == cur["_cur"], "left").join(fu, df[col] == fu["_old"], "left")
     new = F.when(F.col("_is_cur").isNull() & F.col("_new").isNotNull(), F.col("_new")).otherwise(F.col(col))
@@ -54,7 +54,7 @@ def drop_repeated_type(df: DataFrame, type_col: str, label_col: str, types: Data
         t.select(F.col("nom_long").alias("_k"), F.col("nom_long").alias("_f"))).distinct()
     hits = join_leading_term(df.select(type_col, label_col).distinct(), label_col,
                              forms.select(F.col("_f").alias("_lead")), "_lead", longest=False)
-    hits = hits.join(broadcast_if_small(forms), (F.col(type_col) == F.col("_k")) & (F.col("_lead") == F.col("_f")))
+    hits = hits.join(forms, (F.col(type_col) == F.col("_k")) & (F.col("_lead") == F.col("_f")))
     hits = hits.select(type_col, label_col).distinct().withColumn("_rep", F.lit(True))
     out = df.join(hits, [type_col, label_col], "left")
     return out.withColumn(type_col, F.when(F.col("_rep"), F.lit("")).otherwise(F.col(type_col))).drop("_rep")
@@ -65,11 +65,11 @@ def street_kind(df: DataFrame, label_col: str, types: DataFrame, prefer: str = "
     t = types.select("nom_court", "nom_long", "kind")
     short = join_leading_term(df.select(label_col).distinct(), label_col,
                               t.select(F.col("nom_court").alias("_s")), "_s", how="left")
-    short = short.join(broadcast_if_small(t.select(F.col("nom_court").alias("_s"), F.col("kind").alias("_ks"))
-                                          .dropDuplicates(["_s"])), "_s", "left")
+    short = short.join(t.select(F.col("nom_court").alias("_s"), F.col("kind").alias("_ks"))
+                                          .dropDuplicates(["_s"]), "_s", "left")
     long_ = join_leading_term(short, label_col, t.select(F.col("nom_long").alias("_l")), "_l", how="left")
-    long_ = long_.join(broadcast_if_small(t.select(F.col("nom_long").alias("_l"), F.col("kind").alias("_kl"))
-                                          .dropDuplicates(["_l"])), "_l", "left")
+    long_ = long_.join(t.select(F.col("nom_long").alias("_l"), F.col("kind").alias("_kl"))
+                                          .dropDuplicates(["_l"]), "_l", "left")
     kind = (F.coalesce("_ks", "_kl") if prefer == "short" else F.coalesce("_kl", "_ks"))
     kind = F.when(RC.road_number(label_col), F.lit("way")).otherwise(F.coalesce(kind, F.lit("area")))
     kinds = long_.select(label_col, kind.alias("kind"))
@@ -136,7 +136,7 @@ def restore_type(df: DataFrame, label_col: str, types: DataFrame) -> DataFrame:
     (``nom_min``), by leading-term join; labels without a known type keep their text."""
     t = types.select(F.col("nom_court").alias("_t"), "nom_min").dropna()
     hit = join_leading_term(df.select(label_col).distinct(), label_col, t.select("_t"), "_t", how="left")
-    hit = hit.join(broadcast_if_small(t.dropDuplicates(["_t"])), "_t", "left")
+    hit = hit.join(t.dropDuplicates(["_t"]), "_t", "left")
     shown = F.when(F.col("nom_min").isNotNull(),
                    F.concat(F.col("nom_min"), F.lit(" "), F.substr(F.col(label_col), F.length("_t") + 2)))
     return df.join(hit.select(label_col, shown.alias("display")), label_col, "left").withColumn(

@@ -350,13 +350,14 @@ def linker_2016(spark, sf):
     """Link by block + last word + (equal | prefix-stripped) name;
     keep the max id and the ordered distinct list of all ids."""
     p = read_table(spark, sf, "part").select("p_partkey", "p_brand", F.upper("p_name").alias("nm"))
-    a = p.filter(F.col("p_partkey") % 2 == 0).alias("a")
-    b = p.filter(F.col("p_partkey") % 2 == 1).alias("b")
-    cond = ((F.col("a.p_brand") == F.col("b.p_brand")) &
-            (T.last_word(F.col("a.nm")) == T.last_word(F.col("b.nm"))) &
-            ((F.col("a.nm") == F.col("b.nm")) |
-             (F.regexp_replace("a.nm", "^(RED|BLUE) ", "") == F.col("b.nm"))))
-    j = a.join(b, cond).select(F.col("a.p_partkey").alias("pa"), F.col("b.p_partkey").alias("pb"))
+    a = p.filter(F.col("p_partkey") % 2 == 0)
+    b = p.filter(F.col("p_partkey") % 2 == 1).select(F.col("p_partkey").alias("pb"), "p_brand",
+                                                     F.col("nm").alias("nb"))
+    # the two names of the left side are two rows of one equi-join on (brand, name)
+    stripped = F.regexp_replace("nm", "^(RED|BLUE) ", "")
+    a = a.select(F.col("p_partkey").alias("pa"), "p_brand", "nm", F.explode(F.array_distinct(
+        F.array(F.col("nm"), stripped))).alias("nb"))
+    j = a.join(b, ["p_brand", "nb"]).filter(T.last_word(F.col("nm")) == T.last_word(F.col("nb")))
     g = R.ordered_list(j.withColumn("pb_s", F.col("pb").cast("string")), "pa", "pb_s")
     mx = j.groupBy("pa").agg(F.max("pb").alias("pb_max"))
     return g.join(mx, "pa").select("pa", "pb_max", F.col("pb_s_list").alias("pb_list"))

@@ -19,26 +19,39 @@ _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # similarity joins and regex chains are CPU-bound on little data: let
-    # AQE keep small shuffles split instead of merging them into one task
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # labels are regex-heavy; keep generated code within the JIT limit
     "spark.sql.codegen.methodSplitThreshold": "1024",
 }
+# for one machine and little data only: similarity joins and regex chains are
+# CPU-bound there, and AQE would merge their small shuffles into one task
+_LOCAL = {
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+}
 
 
 def get_spark(app: str = "addrlink", cpus: int | str | None = None,
-              shuffle_partitions: int | None = None) -> SparkSession:
-    """Create (or reuse) a session with the settings the library relies on."""
-    cpus = cpus or os.environ.get("BENCH_CPUS", "8")
-    builder = SparkSession.builder.appName(app).master(f"local[{cpus}]")
+              shuffle_partitions: int | None = None, master: str | None = None) -> SparkSession:
+    """Create (or reuse) a session with the settings the library relies on.
+
+    ``master``: of a cluster; by default ``SPARK_MASTER`` or a local run on
+    ``cpus`` cores.  Partition numbers and sizes are set for local runs only;
+    a cluster keeps its own.
+    """
+    master = master or os.environ.get("SPARK_MASTER") or f"local[{cpus or os.environ.get('BENCH_CPUS', '8')}]"
+    builder = SparkSession.builder.appName(app).master(master)
     for k, v in _DEFAULTS.items():
         builder = builder.config(k, v)
-    builder = builder.config("spark.driver.memory", os.environ.get("ADDRLINK_DRIVER_MEM", "16g"))
-    builder = builder.config("spark.sql.shuffle.partitions",
-                             str(shuffle_partitions or int(cpus) * 2))
+    if master.startswith("local"):
+        cores = int(cpus or os.environ.get("BENCH_CPUS", "8"))
+        for k, v in _LOCAL.items():
+            builder = builder.config(k, v)
+        builder = builder.config("spark.driver.memory", os.environ.get("ADDRLINK_DRIVER_MEM", "16g"))
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions or cores * 2))
+        builder = builder.config("spark.addrlink.spread", str(cores * 2))
+    elif shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -46,13 +59,15 @@ def get_spark(app: str = "addrlink", cpus: int | str | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the checkpoint folder; set a local one only when none is configured."""
+    """Return the checkpoint folder; a local one is chosen only on one machine and when none is configured."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         conf_dir = tempfile.mkdtemp(prefix="addrlink-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)
@@ -72,18 +87,14 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
 def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
     """Read one driver table.
 
-    ``spread``: for CPU-heavy per-row work (regex chains on whole texts), a
-    scan with fewer partitions than the cluster has cores (one small file =
-    one row group = one task) is hash-repartitioned on its first column so
-    every core works.  On a large input the scan already has enough splits
-    and nothing is added.
+    ``spread``: the caller does CPU-heavy work per row (regex chains on whole
+    texts).  Where the session says so (``spark.addrlink.spread``, a number
+    of partitions, set for local runs on small files) the rows are dealt out
+    first; on a cluster the scan's own splits are used.
     """
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if spread:
-        want = spark.sparkContext.defaultParallelism * 2
-        if df.rdd.getNumPartitions() < want:
-            df = df.repartition(want, df.columns[0])
-    return df
+    n = int(spark.conf.get("spark.addrlink.spread", "0")) if spread else 0
+    return df.repartition(n, df.columns[0]) if n else df
 
 
 # Intermediate frames persisted inside one cascade pass (label-level
