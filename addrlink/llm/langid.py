@@ -24,6 +24,7 @@ import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -31,9 +32,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from addrlink.session import cut_lineage
+
 from .common import fold_of, spare, text_parts
 
-#: Words of the dictionary, n-grams kept of each length, and the longest n-gram.
+#: Words of the dictionary at most (a frequency is in it as a whole or not), n-grams kept of each
+#: length, and the longest n-gram.
 WORDS = 40_000
 NGRAMS = 40_000
 LONGEST = 5
@@ -82,64 +86,91 @@ def ngrams(word: str, n: int) -> list[str]:
 @dataclass
 class Model:
     langs: list[str]
-    #: Log frequency per language of a known word, and per n of a known n-gram.
-    words: dict[str, np.ndarray]
-    ngrams: list[dict[str, np.ndarray]]
+    #: Log frequencies per language, one row for each known word and n-gram.
+    logs: np.ndarray
+    #: Rows of the known words, and of the known n-grams of each length from 1.
+    words: dict[str, int]
+    ngrams: list[dict[str, int]]
     cuts: dict[str, int] = field(default_factory=dict)
-    rows: list[np.ndarray] = field(default_factory=list)
+    cut_scores: np.ndarray | None = None  # added scores of a cut's words, and their number
 
-    def word(self, w: str) -> np.ndarray | None:
-        """Scores of a word in every language; None if nothing of it is known."""
-        if w in self.words:
-            return self.words[w]
+    def rows_of(self, word: str) -> list[int]:
+        """Rows whose mean is the word's score: its own, or those of its longest known n-grams."""
+        if word in self.words:
+            return [self.words[word]]
         for n in range(len(self.ngrams), 0, -1):
             table = self.ngrams[n - 1]
-            found = [table[g] for g in ngrams(w, n) if g in table]
+            found = [table[g] for g in ngrams(word, n) if g in table]
             if found:
-                return np.mean(found, axis=0)
-        return None
-
-    def cut(self, c: str) -> np.ndarray:
-        """Added scores of the words of a cut, and their number."""
-        out = np.zeros(len(self.langs) + 1)
-        for w in [c] if c.isalpha() else LETTERS.findall(c):
-            out[-1] += 1
-            if (s := self.word(w)) is not None:
-                out[:-1] += s
+                return found
+        return []
+
+    def scores_of(self, cuts: list[str]) -> np.ndarray:
+        """Added scores of the words of every cut, and their number in the last column."""
+        at, shares, ends, counts = [], [], [], []
+        for c in cuts:
+            words = [c] if c.isalpha() else LETTERS.findall(c)
+            for w in words:
+                rows = self.rows_of(w)
+                at += rows
+                shares += [1 / max(len(rows), 1)] * len(rows)
+            ends.append(len(at))
+            counts.append(len(words))
+        out = np.zeros((len(cuts), len(self.langs) + 1))
+        out[:, -1] = counts
+        ends = np.array(ends, np.int64)
+        starts = np.r_[0, ends[:-1]]
+        some = ends > starts
+        if some.any():
+            out[some, :-1] = np.add.reduceat(self.logs[at] * np.array(shares)[:, None], starts[some])
         return out
 
-    def predict(self, text: str) -> tuple[str, float]:
-        cuts = text.lower().split()
-        known = self.cuts
-        for c in set(cuts).difference(known):
-            known[c] = len(self.rows)
-            self.rows.append(self.cut(c))
-        total = np.zeros(len(self.langs) + 1)
-        for c, n in Counter(cuts).items():
-            total += n * self.rows[known[c]]
-        if len(known) > KNOWN:
-            self.cuts, self.rows = {}, []
-        if not total[-1] or not self.langs:
-            return "und", 0.0
-        s = total[:-1]
-        best = int(s.argmax())
-        return self.langs[best], float(1 / np.exp(np.maximum(s - s[best], -700)).sum())
+    def predict(self, batch: list[str]) -> list[tuple[str, float]]:
+        """Language and score of every text."""
+        width = len(self.langs) + 1
+        if self.cut_scores is None or len(self.cuts) > KNOWN:
+            self.cuts, self.cut_scores = {}, np.zeros((0, width))
+        held = [t.lower().split() for t in batch]
+        new = list(set().union(*held).difference(self.cuts))
+        self.cuts.update(zip(new, range(len(self.cuts), len(self.cuts) + len(new))))
+        self.cut_scores = np.concatenate([self.cut_scores, self.scores_of(new)])
+        sizes = np.array([len(h) for h in held], np.int64)
+        rows = np.fromiter(map(self.cuts.__getitem__, chain.from_iterable(held)), np.int64, int(sizes.sum()))
+        total = np.zeros((len(batch), width))
+        some = sizes > 0
+        if some.any():
+            total[some] = np.add.reduceat(self.cut_scores[rows], (np.cumsum(sizes) - sizes)[some])
+        out = []
+        for s in total:
+            if not self.langs or not s[-1]:
+                out.append(("und", 0.0))
+                continue
+            best = int(s[:-1].argmax())
+            out.append((self.langs[best], float(1 / np.exp(np.maximum(s[:-1] - s[best], -700)).sum())))
+        return out
 
 
 def train(rows: DataFrame, n_words: int = WORDS, n_ngrams: int = NGRAMS, longest: int = LONGEST) -> Model:
     """Model from ``rows`` (text, lang): counts over all rows, a dictionary of at most ``n_words``."""
-    per_word = (word_counts(rows).groupBy("word")
-                .agg(F.sum("n").alias("total"), F.collect_list(F.struct("lang", "n")).alias("of")))
-    top = per_word.orderBy(F.desc("total"), "word").limit(n_words).collect()
+    per_word = cut_lineage(word_counts(rows).groupBy("word").agg(
+        F.sum("n").alias("total"), F.collect_list(F.struct("lang", "n")).alias("of")))
+    # buckets of totals, cut to their 10 leading bits: a few thousand rows whatever the corpus
+    drop_bits = "greatest(length(bin(total)) - 10, 0)"
+    sizes = per_word.groupBy(F.expr(f"shiftleft(shiftright(total, {drop_bits}), {drop_bits})").alias("least")).count()
+    least, held = None, 0
+    for r in sorted(sizes.collect(), reverse=True):
+        held += r["count"]
+        if held > n_words:
+            break
+        least = r["least"]
+    if least is not None:
+        top = per_word.where(F.col("total") >= F.lit(least)).collect()
+    else:  # more words than that are equally frequent
+        top = per_word.orderBy(F.desc("total"), "word").limit(n_words).collect()
+    top.sort(key=lambda r: r["word"])
     langs = sorted({x["lang"] for r in top for x in r["of"]})
     column = {lang: i for i, lang in enumerate(langs)}
 
-    def logs(counts: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-        if not counts:
-            return {}
-        m = np.array(list(counts.values())) + 0.5
-        return dict(zip(counts, np.log(m / m.sum(axis=0))))
-
     words: dict[str, np.ndarray] = {}
     grams: list[dict[str, np.ndarray]] = [defaultdict(lambda: np.zeros(len(langs))) for _ in range(longest)]
     for r in top:
@@ -151,7 +182,14 @@ def train(rows: DataFrame, n_words: int = WORDS, n_ngrams: int = NGRAMS, longest
             for g in ngrams(r["word"], k):
                 grams[k - 1][g] += n
     kept = [dict(sorted(g.items(), key=lambda x: (-x[1].sum(), x[0]))[:n_ngrams]) for g in grams]
-    return Model(langs, logs(words), [logs(g) for g in kept])
+    logs, places, size = [np.zeros((0, len(langs)))], [], 0
+    for counts in [words, *kept]:
+        places.append(dict(zip(counts, range(size, size + len(counts)))))
+        size += len(counts)
+        if counts:
+            m = np.array(list(counts.values())) + 0.5
+            logs.append(np.log(m / m.sum(axis=0)))
+    return Model(langs, np.concatenate(logs), places[0], places[1:])
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
@@ -162,7 +200,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         m = shared.value
         for part in text_parts(batches):
-            yield pd.DataFrame([m.predict(t) for t in part], columns=["lang_pred", "score"])
+            yield pd.DataFrame(m.predict(part), columns=["lang_pred", "score"])
 
     name, new = spare(docs, "of"), ("lang_pred", "score")
     return docs.withColumn(name, of("text")).select(
