@@ -181,8 +181,11 @@ def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """Every paragraph with an anchor: doc_id, paragraph, text, family, probability, template, similarity, confirmed."""
     spark = docs.sparkSession
     if model is None:
-        sample = (docs.select("text").where("length(text) > 0").orderBy(F.xxhash64("text"), "text")
-                  .limit(SAMPLE).select(F.slice(F.split("text", "\n", -1), 1, 2).alias("p")).collect())
+        hashed = docs.select("text", F.xxhash64("text").alias("h")).where("length(text) > 0")
+        # hashes alone are ranked; only the chosen texts' first lines come to the driver
+        last = hashed.select("h").distinct().orderBy("h").limit(SAMPLE).agg(F.max("h")).first()[0]
+        sample = sorted(hashed.where(F.col("h") <= F.lit(last)).select(
+            F.slice(F.split("text", "\n", -1), 1, 2).alias("p")).distinct().collect())
         model = Model([p for r in sample for p in r["p"]][:SAMPLE])
     pattern = r"(?<![a-z0-9])(?:" + "|".join(model.anchors) + r")(?![a-z0-9])"
     found = paragraphs(docs, pattern).withColumn("norm", F.array_join(F.filter(
