@@ -44,9 +44,21 @@ def test_known_words_come_first_and_unseen_ones_back_off(spark):
                                  "doc_id long, text string, lang string")
     model = langid.train(docs)
     assert model.langs == ["x", "y"]
-    assert model.predict("abc")[0] == "x"
-    assert model.predict("abdd")[0] == "y"  # by its n-grams
-    assert model.word("qqq") is None and model.predict("qqq") == ("x", 0.5)  # a tie: the first by name
+    known, unseen, nothing = model.predict(["abc", "abdd", "qqq"])
+    assert known[0] == "x"
+    assert unseen[0] == "y"  # by its n-grams
+    assert model.rows_of("qqq") == [] and nothing == ("x", 0.5)  # a tie: the first by name
+
+
+def test_a_text_s_score_does_not_depend_on_its_batch(spark, monkeypatch):
+    rows = texts(200, 4)
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    batch = [t + " neverseen été 5" for _, t, _ in rows] + ["", "7", "x-y z"]
+    together = model.predict(batch)
+    monkeypatch.setattr(langid, "KNOWN", 0)
+    for t, (lang, score) in zip(batch, together):
+        (own, s), = model.predict([t])
+        assert own == lang and abs(s - score) < 1e-9
 
 
 def test_odd_rows(spark, odd_docs, odd_rows, no_docs):

@@ -36,10 +36,10 @@ def test_repeated_rows_and_empty_tables(spark):
 
 
 def test_precedence(spark):
-    rules = [("a.org", "/x", "allow"), ("org", "/x/yy", "block"), ("org", "/z", "allow"), ("org", "/z", "block"),
+    rules = [("a.org", "/x", "allow"), ("org", "/x/y", "block"), ("org", "/z", "allow"), ("org", "/z", "block"),
              (None, "/x", "block"), ("b.org", None, "block")]
     assert judged(spark, ["http://a.org/x/yy", "http://b.org/zz", "http://c.org/zz", "http://b.org"], rules) == [
-        ("a.org", "/x/yy", "a.org/x", "allow"),  # as long as org/x/yy: the longer host
+        ("a.org", "/x/yy", "a.org/x", "allow"),  # as long as org/x/y: the longer host
         ("b.org", "/zz", "b.org", "block"), ("c.org", "/zz", "org/z", "block"), ("b.org", "", "b.org", "block")]
 
 
