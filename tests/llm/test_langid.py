@@ -77,3 +77,48 @@ def test_predict_keeps_other_columns(spark, odd_docs):
     model = langid.train(odd_docs)
     out = langid.predict(odd_docs, model)
     assert out.columns == [c for c in odd_docs.columns if c != "score"] + ["lang_pred", "score"]
+
+
+def test_scores_do_not_depend_on_how_much_is_broadcast(spark):
+    rows = texts(300, 5) + [(None, None, "aa"), (1000, "", "aa"), (1001, "7 -", None), (1002, "qqq", None),
+                            (1002, "Neverseen bababa x-y", None), (1003, "xixi\u0439\u0439 " + "xo" * 3000, None),
+                            (1003, "a", None), (1004, "ß wwwww", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    trained = docs.where("doc_id % 5 > 0")
+    whole = langid.train(trained)
+    want = sorted(map(str, langid.predict(docs, whole).collect()))
+    for n_words, n_ngrams in ((0, 0), (60, 40_000), (10 ** 6, 3)):
+        part = langid.train(trained, n_words, n_ngrams)
+        assert whole.whole and not part.whole and part.langs == whole.langs
+        assert len(part.words) * 3 <= n_words
+        got = langid.predict(docs, part)
+        assert got.columns == ["doc_id", "text", "lang", "lang_pred", "score"]
+        assert sorted(str(r) for r in got.collect()) == want
+
+
+def test_a_rare_language_beside_a_hot_one_is_learned(spark):
+    rng = random.Random(6)
+    word = lambda syllables, n: "".join(rng.choice(syllables) for _ in range(n))
+    hot = [(i, " ".join([word(SYLLABLES["aa"], 3)] * 3), "aa") for i in range(200)]
+    rare = [(1000 + i, word(SYLLABLES["cc"], 4), "cc") for i in range(40)]
+    docs = spark.createDataFrame(hot + rare, "doc_id long, text string, lang string")
+    model = langid.train(docs, n_words=20)  # no word of the rare language is among the most frequent
+    assert model.langs == ["aa", "cc"]
+    assert not any(w in model.words for _, t, _ in rare for w in t.split())
+    asked = rare + [(2000, word(SYLLABLES["cc"], 5), None)]
+    got = langid.predict(spark.createDataFrame(asked, "doc_id long, text string, lang string"), model).collect()
+    assert {r["lang_pred"] for r in got} == {"cc"}
+
+
+def test_ngrams_of_all_words_are_counted_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(langid, "PIECE", 7)
+    for word in ("a", "abcdefgh", "abcabcabcabcabcabcabc"):
+        for k in range(1, 6):
+            assert [g for p in langid.pieces(word, k) for g in p] == langid.ngrams(word, k)
+    rows = spark.createDataFrame([("x", "abcab", 3), ("x", "bca", 2), ("y", "ab", 1)], "lang string, word string, n long")
+    want = Counter()
+    for lang, w, n in (("x", "abcab", 3), ("x", "bca", 2), ("y", "ab", 1)):
+        for k in range(1, 6):
+            for g in langid.ngrams(w, k):
+                want[k, g, lang] += n
+    assert {(r["k"], r["gram"], r["lang"]): r["n"] for r in langid.ngram_counts(rows).collect()} == want
