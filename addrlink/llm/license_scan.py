@@ -1,6 +1,10 @@
 """Operator 8: licence scans with a trained paragraph classifier [native].
 
-Paragraphs are the lines of a text.  A sparse multinomial logistic regression
+Paragraphs are the lines of a text and, for statements wrapped over lines, runs
+of lines: from every line to the end of its block, or until the longest template
+would fit behind the first line.  Of overlapping runs that state the same family
+the one that begins where the statement does is returned, and none that holds a
+line which states the family alone.  A sparse multinomial logistic regression
 over word 1-grams and 2-grams of the known licence statements says which family
 a paragraph states, or none: the class ``unknown`` is trained on paragraphs of
 the corpus and on loose words of the statements, and the probability from which
@@ -16,8 +20,11 @@ paragraphs are scored once; the join back to the documents is an equi-join.
 The model is trained on the driver, on ``SAMPLE`` corpus paragraphs at most;
 scoring is DataFrame operations only.
 
-Cases: null and empty texts have no paragraphs; a paragraph that states several
-licences gets the likeliest; of equal templates the first by name; repeated
+A paragraph that states several licences gives a row for each: beside the
+likeliest every family with a confirmed template that is likelier than none and
+holds a 2-gram foreign to the better ones (CC BY is no part of CC BY-NC).
+
+Cases: null and empty texts have no paragraphs; of equal templates the first by name; repeated
 rows are all returned; an empty table gives an empty result; extra columns are
 ignored.
 """
@@ -29,7 +36,7 @@ import re
 from collections import Counter
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import literal_rows
@@ -168,17 +175,36 @@ def has_anchor(text, anchored: str):
     return F.lower(text).rlike(anchored)
 
 
-def paragraphs(docs: DataFrame, pattern: str | None = None) -> DataFrame:
-    """doc_id, paragraph (line number from 0) and its text; only lines with ``pattern`` where given."""
-    df = docs.select("doc_id", "text").where("text is not null")
-    if pattern:
-        df = df.where(has_anchor(F.col("text"), pattern))
-    df = df.select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("paragraph", "text"))
-    return df.where(has_anchor(F.col("text"), pattern)) if pattern else df
+def words_column(text):
+    return F.filter(F.split(F.lower(text), "[^a-z0-9]+"), lambda w: w != "")
+
+
+def lines_and_runs(docs: DataFrame, anchored: list[str], pattern: str) -> DataFrame:
+    """Lines, and runs of two lines or more, with an anchor: id, doc_id, paragraph (first line), end (last one), text, norm."""
+    longest = max(len(words(s)) for ss in STATEMENTS.values() for s in ss)
+    df = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("id"))
+    df = df.where(has_anchor(F.col("text"), pattern)).withColumn("lines", F.split("text", "\n", -1))
+    df = df.select("id", "doc_id", "lines", F.transform("lines", words_column).alias("ws"))
+    df = df.select("id", "doc_id", "lines", "ws", F.posexplode("ws").alias("paragraph", "first")).where("size(first) > 0")
+    # every line of a block has a word, so no more lines than words are needed
+    taken = F.expr(f"""aggregate(slice(ws, paragraph + 2, {longest}),
+        named_struct('w', cast(array() as array<string>), 'n', 0, 'open', true),
+        (a, x) -> case when a.open and size(x) > 0 and size(a.w) < {longest}
+                  then named_struct('w', concat(a.w, x), 'n', a.n + 1, 'open', true)
+                  else named_struct('w', a.w, 'n', a.n, 'open', false) end)""")
+    df = df.withColumn("more", taken)
+    one = F.struct(F.col("paragraph").alias("end"), F.col("first").alias("w"))
+    run = F.struct(F.expr("paragraph + more.n").alias("end"), F.concat("first", "more.w").alias("w"))
+    both = F.when(F.col("more.n") > 0, F.array(one, run)).otherwise(F.array(one))
+    df = df.select("id", "doc_id", "lines", "paragraph", F.explode(both).alias("x"))
+    df = df.where(F.arrays_overlap("x.w", F.array(*map(F.lit, anchored))))
+    return df.select("id", "doc_id", "paragraph", "x.end", F.array_join(
+        F.expr("slice(lines, paragraph + 1, x.end - paragraph + 1)"), "\n").alias("text"),
+        F.array_join("x.w", " ").alias("norm"))
 
 
 def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
-    """Every paragraph with an anchor: doc_id, paragraph, text, family, probability, template, similarity, confirmed."""
+    """Lines with an anchor and confirmed runs: doc_id, paragraph, text, family, probability, template, similarity, confirmed."""
     spark = docs.sparkSession
     if model is None:
         hashed = docs.select("text", F.xxhash64("text").alias("h")).where("length(text) > 0")
@@ -188,8 +214,7 @@ def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
             F.slice(F.split("text", "\n", -1), 1, 2).alias("p")).distinct().collect())
         model = Model([p for r in sample for p in r["p"]][:SAMPLE])
     pattern = r"(?<![a-z0-9])(?:" + "|".join(model.anchors) + r")(?![a-z0-9])"
-    found = paragraphs(docs, pattern).withColumn("norm", F.array_join(F.filter(
-        F.split(F.lower("text"), "[^a-z0-9]+"), lambda w: w != ""), " "))
+    found = lines_and_runs(docs, model.anchors, pattern)
     one = found.select("norm").distinct().withColumn("w", F.split("norm", " "))
     two = F.expr("zip_with(slice(w, 1, size(w) - 1), slice(w, 2, size(w) - 1), (a, b) -> concat(a, ' ', b))")
     terms = one.select("norm", F.explode(F.array_distinct(F.concat("w", two))).alias("term"))
@@ -206,16 +231,47 @@ def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
     scored = scored.select("norm", F.transform("z", lambda v: F.exp(v - F.col("top"))).alias("e"))
     scored = scored.withColumn("e", F.transform("e", lambda v: v / F.aggregate("e", F.lit(0.0), lambda a, b: a + b)))
     likely = F.slice("e", 1, n - 1)
-    scored = scored.select("norm", F.array_max(likely).alias("probability"), F.element_at(
-        F.array(*map(F.lit, FAMILIES[:-1])), F.array_position(likely, F.array_max(likely)).cast("int")).alias("family"))
+    families = F.array(*map(F.lit, FAMILIES[:-1]))
+    scored = scored.select("norm", "e", F.element_at(
+        families, F.array_position(likely, F.array_max(likely)).cast("int")).alias("top"))
     alike = (terms.join(F.broadcast(shapes), "term").groupBy("norm", "family", "template")
-             .agg((F.count("*") / F.max("pairs")).alias("similarity"))
-             .groupBy("norm", "family").agg(
-                 F.max("similarity").alias("similarity"),
-                 F.min_by("template", F.struct(-F.col("similarity"), "template")).alias("template")))
-    judged = scored.join(alike, ["norm", "family"], "left").withColumn(
-        "confirmed", (F.col("probability") >= model.threshold) & (F.coalesce("similarity", F.lit(0.0)) >= CONFIRM))
-    return found.join(judged, "norm", "left").select(
+             .agg((F.count("*") / F.max("pairs")).alias("similarity"), F.collect_list("term").alias("has"))
+             .groupBy("norm", "family").agg(F.min_by(
+                 F.struct("family", "similarity", "template", "has"), F.struct(-F.col("similarity"), "template")).alias("x"))
+             .groupBy("norm").agg(F.collect_list("x").alias("all")))
+    owned = F.create_map(*[x for f in STATEMENTS for x in (F.lit(f), F.array(*[
+        F.lit(p) for p in sorted(set().union(*[ps for g, _, ps in templates() if g == f]))]))])
+    better = lambda x, h: (h.family != x.family) & (
+        (h.family == F.col("top")) | (h.similarity > x.similarity)
+        | ((h.similarity == x.similarity) & (h.family < x.family)))
+    judged = scored.join(alike, "norm", "left").withColumn("owned", owned)
+    good = F.filter("all", lambda x: x.similarity >= CONFIRM)
+    judged = judged.withColumn("good", F.coalesce(good, F.array().cast("array<struct<family:string,similarity:double,"
+                                                                     "template:string,has:array<string>>>")))
+    others = F.filter("good", lambda x: (x.family != F.col("top")) & (F.size(F.aggregate(
+        F.filter("good", lambda h: better(x, h)), x.has,
+        lambda left, h: F.array_except(left, F.col("owned")[h.family]))) > 0))
+    judged = judged.withColumn("family", F.explode(F.concat(F.array("top"), F.transform(others, lambda x: x.family))))
+    judged = judged.withColumn("probability", F.col("e")[F.array_position(families, F.col("family")).cast("int") - 1])
+    mine = F.filter("all", lambda x: x.family == F.col("family"))
+    judged = judged.select("norm", "family", "probability", F.get(mine, F.lit(0)).alias("x"), F.when(
+        F.col("family") == F.col("top"), F.col("probability")).otherwise(  # of one family or none
+            F.col("probability") / (F.col("probability") + F.col("e")[n - 1])).alias("sure"),
+        (F.col("family") == F.col("top")).alias("likeliest"))
+    judged = judged.select("norm", "family", "probability", "x.similarity", "x.template", "likeliest", (
+        (F.col("sure") >= model.threshold) & (F.coalesce("x.similarity", F.lit(0.0)) >= CONFIRM)).alias("confirmed"))
+    df = found.join(judged, "norm", "left").withColumn("line", F.col("end") == F.col("paragraph"))
+    df = df.where(F.col("confirmed") | (F.col("line") & F.coalesce("likeliest", F.lit(True))))
+    # runs: without a line that states the family alone, and of overlapping ones the best
+    of = Window.partitionBy("id", "family").orderBy("paragraph")
+    alone = F.min(F.when(F.col("line") & F.col("confirmed"), F.col("paragraph"))).over(of.rangeBetween(0, Window.unboundedFollowing))
+    df = df.withColumn("alone", alone).where("line or alone is null or alone > end")
+    of = Window.partitionBy("id", "family", "line").orderBy("paragraph")
+    for name, step in (("before", F.lag), ("after", F.lead)):
+        df = df.withColumn(name, F.when(step("paragraph").over(of) == F.col("paragraph") + (1 if name == "after" else -1),
+                                        step("similarity").over(of)))
+    df = df.where("line or (coalesce(before, 0) <= similarity and coalesce(after, 0) < similarity)")
+    return df.select(
         "doc_id", "paragraph", "text",
         F.when(F.col("confirmed"), F.col("family")).otherwise(F.lit(UNKNOWN)).alias("family"),
         "probability", "template", "similarity", F.coalesce("confirmed", F.lit(False)).alias("confirmed"))

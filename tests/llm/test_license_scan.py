@@ -72,3 +72,30 @@ def test_no_python_in_the_plan(spark, model):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     plan = s.scan(docs, model)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Arrow", "Pandas", "Cartesian", "ExistingRDD"))
+
+
+MIT = ["Permission is hereby granted, free of charge, to any person obtaining a copy",
+       "of this software and associated documentation files, to deal in the",
+       "Software without restriction, including without limitation the rights to use"]
+BSD = ["Redistribution and use in source and binary forms, with or without",
+       "modification, are permitted provided that the following conditions are met:"]
+
+
+def test_statements_wrapped_over_lines(spark, model):
+    texts = ["\n".join(["a title", "", *MIT, "", "some words"]), "\n".join(["before it", *BSD]),
+             "\n".join(f" * {x}" for x in [*MIT, "", *BSD]), "\n".join(" ".join(BSD).split()),
+             "\n\n".join(" ".join(BSD).split()), "Released under the MIT License.\n" + "\n".join(MIT)]
+    docs = spark.createDataFrame([*enumerate(texts), (0, texts[0])], "doc_id long, text string")
+    rows = s.scan(docs, model).where("confirmed").collect()
+    got = sorted((r["doc_id"], r["paragraph"], r["family"]) for r in rows)
+    assert got == [(0, 2, "mit"), (0, 2, "mit"), (1, 1, "bsd"), (2, 0, "mit"), (2, 4, "bsd"), (3, 0, "bsd"),
+                   (5, 0, "mit"), (5, 1, "mit")]
+    assert {r["text"] for r in rows if r["doc_id"] == 0} == {"\n".join(MIT)}
+
+
+def test_a_line_with_two_licences_gives_both(spark, model):
+    lines = ["Licensed under the MIT license or the Apache License, Version 2.0", "Licensed under CC BY-NC 4.0",
+             "Licensed under CC BY-SA 4.0", "Released under the MIT License. Licensed under CC BY-NC 4.0."]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    got = sorted((r["doc_id"], r["family"]) for r in s.scan(docs, model).where("confirmed").collect())
+    assert got == [(0, "apache"), (0, "mit"), (1, "cc-by-nc"), (2, "cc-by"), (3, "cc-by-nc"), (3, "mit")]
