@@ -106,4 +106,92 @@ f AS (
 SELECT page_id, host, path, f.rule, coalesce(f.verdict, 'allow') AS verdict FROM p LEFT JOIN f USING (rid)
 """
 
-ORACLES = {"op1_quality_rules": OP1, "op2_embedding_dedup": OP2, "op4_url_filter": OP4}
+OP11 = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, coalesce(text, '') AS t, coalesce(lang, '') AS lang,
+         coalesce(source, '') AS source FROM documents),
+w AS (
+  SELECT rid, lang, source, translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+  FROM (SELECT rid, lang, source,
+               unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS x FROM d)),
+c AS (SELECT lang, source, term, count(*) AS n, count(DISTINCT rid) AS docs FROM w GROUP BY ALL),
+k AS (SELECT lang, term, sum(n) AS n FROM c GROUP BY ALL HAVING sum(docs) >= 3),
+v AS (SELECT lang, count(*) AS v, sum(n) AS total FROM k GROUP BY ALL),
+g AS (SELECT DISTINCT lang, source FROM d),
+gc AS (
+  SELECT g.lang, g.source, k.term, k.n AS lang_n, coalesce(c.n, 0) AS n
+  FROM g JOIN k ON k.lang = g.lang
+  LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+gt AS (SELECT lang, source, sum(n) AS total FROM gc GROUP BY ALL),
+p AS (
+  SELECT gc.lang, gc.source, term, n,
+         (1 + 1000000000::HUGEINT * (n + 1) // (gt.total + v.v))::BIGINT AS p,
+         (1 + 1000000000::HUGEINT * (lang_n + 1) // (v.total + v.v))::BIGINT AS q
+  FROM gc JOIN gt ON gt.lang = gc.lang AND gt.source = gc.source JOIN v ON v.lang = gc.lang),
+sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+terms AS (
+  SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // q AS value FROM p WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS r
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, value::BIGINT AS value, r::INTEGER AS rank FROM ranked
+WHERE part = 'pair' OR r <= 200
+"""
+
+OP12 = """
+WITH e AS (
+  SELECT row_number() OVER () AS rid, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(256 * x::DOUBLE)::BIGINT for x in embedding] AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+c AS (
+  SELECT rid, vec_id, label, len(v) AS dim, unnest(v) AS x, unnest(range(1, len(v) + 1)) AS i FROM e),
+s AS (
+  SELECT a.rid, a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, sum(a.x * b.x)::BIGINT AS score
+  FROM c a JOIN c b ON a.i = b.i AND a.dim = b.dim AND a.rid <> b.rid
+  WHERE a.vec_id % 100 = 0 GROUP BY a.rid, b.rid, a.vec_id, b.vec_id, a.label, b.label),
+p AS (
+  SELECT rid, anchor_id, id AS positive_id, score AS positive_score,
+         row_number() OVER (PARTITION BY rid ORDER BY score DESC, id) AS place FROM s WHERE same),
+n AS (
+  SELECT p.anchor_id, positive_id, positive_score, s.id AS negative_id, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.rid, p.place ORDER BY s.score DESC, s.id) AS r
+  FROM p JOIN s ON s.rid = p.rid AND NOT s.same
+    AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+  WHERE p.place <= 5)
+SELECT anchor_id, positive_id, r::INTEGER AS rank, negative_id, positive_score, negative_score FROM n WHERE r <= 10
+"""
+
+OP13 = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok')),
+w AS (
+  SELECT *, 14 + length(role)
+         + length(role) - length(translate(role, '\:#<', ''))
+         + length(regexp_replace(regexp_replace(text, '##(\\*)# ', '##\\\1# ', 'g'),
+                                 '<(\\*)/turn>', '<\\\1/turn>', 'g')) AS n
+  FROM t),
+o AS (
+  SELECT *, sum(n) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text
+                         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k,
+         count(*) OVER (PARTITION BY conv_id) AS total
+  FROM w)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(upto) FILTER (role = 'assistant' OR k = total)::BIGINT AS formatted_chars
+FROM o GROUP BY conv_id
+"""
+
+ORACLES = {"op1_quality_rules": OP1, "op2_embedding_dedup": OP2, "op4_url_filter": OP4,
+           "op11_source_divergence": OP11, "op12_hard_negatives": OP12, "op13_chat_format": OP13}

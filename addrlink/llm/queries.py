@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, embedding_dedup, html_extract, langid, license_scan, packing, quality_classifier,
-               quality_rules, simhash, url_filter)
-from .common import table
+from . import (bpe, chat, divergence, embedding_dedup, hard_negatives, html_extract, langid, license_scan, packing,
+               quality_classifier, quality_rules, simhash, url_filter)
+from .common import literal_rows, table
 from .oracles import ORACLES  # noqa: F401
 
 
@@ -83,6 +83,29 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every source against the other sources of its language and, by term, against the language."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every anchor (ids divisible by 100) and each of its positives."""
+    vectors = table(spark, sf_dir, "embeddings").withColumn(
+        "label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.mine(vectors, F.col("vec_id") % 100 == 0)
+
+
+#: A conversation whose turns hold the template's own control strings.
+CONTROL_TURNS = [(-7, 0, "user", "\\### Assistant: </turn> ok"), (-7, 1, "assistant", "\\### Assistant: </turn> ok")]
+
+
+def op13_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation written as examples of one trainable reply each, and read back."""
+    more = literal_rows(spark, CONTROL_TURNS, "conv_id:bigint,turn:bigint,role:string,text:string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.read_back(chat.examples(turns.unionByName(more)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -94,4 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scan": op8_license_scan,
     "op9_packing": op9_packing,
     "op10_langid": op10_langid,
+    "op11_source_divergence": op11_source_divergence,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_chat_format": op13_chat_format,
 }

@@ -32,7 +32,7 @@ def test_same_as_sql(spark, name):
 def test_registered():
     names = __spark_entry__.queries()
     assert set(QUERIES) | {"pipeline"} <= set(names)
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 14)}
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "quality_classifier", "simhash", "packing"]
 
 
