@@ -23,10 +23,12 @@ import heapq
 import json
 import re
 import unicodedata
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -36,8 +38,8 @@ from .common import text_parts
 
 #: Longest word (bytes) that is encoded in the matrices.
 SHORT = 48
-#: Entries of a dictionary of pieces.
-KNOWN = 200_000
+#: Entries of the dictionary of chunks from which it is begun anew.
+KNOWN = 300_000
 NONE = np.int32(2**31 - 1)
 
 # fixed values of the byte-level vocabularies: the pieces of a text, and the
@@ -55,6 +57,28 @@ def byte_chars() -> list[str]:
     return out
 
 
+class Numbers(dict):
+    """Numbers of chunks, given out at the first look-up, and the ids of every number."""
+
+    def __init__(self):
+        self.new: list[str] = []  # without ids so far
+        self.ids = np.zeros(0, "<u4")
+        self.start = self.size = np.zeros(0, np.int64)
+
+    def __missing__(self, chunk: str) -> int:
+        self.new.append(chunk)
+        n = self[chunk] = len(self)
+        return n
+
+    def settle(self, ids: list[bytes]) -> None:
+        """Take the ids of the new chunks."""
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        self.start = np.r_[self.start, len(self.ids) + np.cumsum(size) - size]
+        self.size = np.r_[self.size, size]
+        self.ids = np.r_[self.ids, np.frombuffer(b"".join(ids), "<u4")]
+        self.new = []
+
+
 class Vocabulary:
     """Encoder and decoder of one tokenizer file (its JSON text)."""
 
@@ -87,7 +111,7 @@ class Vocabulary:
                 self.bytes_of[i] = bytes(of_char[c] for c in token) + b" " * end
         for token, i in self.special.items():
             self.bytes_of[i] = token.encode()
-        self.chunks: dict[str, bytes] = {}
+        self.chunks = Numbers()
 
     # -- ranks of pairs: a hash table that numpy looks up for whole arrays
 
@@ -181,20 +205,24 @@ class Vocabulary:
                     heapq.heappush(heap, (r, x, ids[x], ids[y]))
         return np.array([x for x in ids if x >= 0], "<u4").tobytes()
 
-    def encode_words(self, words: Iterable[str]) -> dict[str, bytes]:
+    def encode_words(self, words: list[str]) -> list[bytes]:
         """Ids of every word (pieces of the pattern)."""
-        out, by_length = {}, {}
-        for w in words:
-            b = w.encode("utf-8", "surrogatepass")
-            if len(b) > SHORT:
-                out[w] = self.merge_long(b)
-            else:
-                by_length.setdefault(len(b), []).append((w, b))
-        for length, group in by_length.items():
-            for i in range(0, len(group), 50_000):
-                part = group[i:i + 50_000]
-                rows = np.frombuffer(b"".join(b for _, b in part), np.uint8).reshape(-1, length)
-                out.update(zip((w for w, _ in part), self.merge_short(rows)))
+        out: list[bytes] = [b""] * len(words)
+        held = pa.array(words, pa.string())  # all words in one buffer
+        ends = np.frombuffer(held.buffers()[1], np.int32)[:len(words) + 1]
+        data = np.frombuffer(held.buffers()[2] or b"", np.uint8)
+        sizes = np.diff(ends)
+        order = np.argsort(sizes, kind="stable")
+        for group in np.split(order, np.flatnonzero(np.diff(sizes[order])) + 1):
+            length = int(sizes[group[0]]) if len(group) else 0
+            for k in range(0, len(group) if length else 0, 50_000):
+                part = group[k:k + 50_000]
+                if length > SHORT:
+                    ids = [self.merge_long(words[i].encode()) for i in part]
+                else:
+                    ids = self.merge_short(data[ends[part][:, None] + np.arange(length)])
+                for i, b in zip(part.tolist(), ids):
+                    out[i] = b
         return out
 
     # -- whole texts
@@ -224,11 +252,40 @@ class Vocabulary:
                 return chunks
         return self.pattern.findall(text)
 
+    def encode_chunks(self, new: list[str]) -> list[bytes]:
+        """Ids of every chunk."""
+        # a run of letters is one piece, and a mark after it another: no need of the pattern
+        skip, special = (0 if self.drops_space else 1), self.special
+        out: list[bytes | None] = [None] * len(new)
+        words, marked, pieces = [], [], []
+        for i, c in enumerate(new):
+            if c[skip:].isalpha() and (not skip or c[0] == " "):
+                words.append(i)
+            elif c[-1] in ".," and c[skip:-1].isalpha() and (not skip or c[0] == " "):
+                marked.append(i)
+            elif c in special:
+                out[i] = special[c].to_bytes(4, "little")
+            else:
+                pieces.append((i, self.pattern.findall(c)))
+        for i, ids in zip(words, self.encode_words([new[i] for i in words])):
+            out[i] = ids
+        rest = list({new[i][:-1] for i in marked} | {".", ","}.union(*[ps for _, ps in pieces]))
+        of = dict(zip(rest, self.encode_words(rest)))
+        for i in marked:
+            out[i] = of[new[i][:-1]] + of[new[i][-1]]
+        for i, ps in pieces:
+            out[i] = b"".join([of[p] for p in ps])
+        return out
+
     def encode_texts(self, batch: list[str]) -> list[bytes]:
-        """Ids of every text, as little-endian unsigned 32-bit integers."""
+        """Ids of every text, as little-endian unsigned 32-bit integers.
+
+        Every chunk is looked up once, which gives its number; the ids of the
+        texts are then gathered from those of the numbers in one step.
+        """
         if len(self.chunks) > KNOWN:
-            self.chunks = {}
-        special = self.special
+            self.chunks = Numbers()
+        known, special = self.chunks, self.special
         cut = []
         for text in batch:
             parts = [text]
@@ -236,25 +293,15 @@ class Vocabulary:
                 parts = self.special_split.split(text)
             cut.append([c for p in parts for c in ([p] if p in special else self.cut(p))]
                        if len(parts) > 1 else self.cut(text))
-        known = self.chunks
-        new = set().union(*cut).difference(known)
-        # a run of letters is one piece, and a mark after it another: no need of the pattern
-        skip = 0 if self.drops_space else 1
-        words, marked, pieces = set(), [], {}
-        for c in new:
-            if c[skip:].isalpha() and (not skip or c[0] == " "):
-                words.add(c)
-            elif c[-1] in ".," and c[skip:-1].isalpha() and (not skip or c[0] == " "):
-                marked.append(c)
-            elif c not in special:
-                pieces[c] = self.pattern.findall(c)
-        ids = self.encode_words(words.union([c[:-1] for c in marked], ".,", *pieces.values()))
-        known.update((c, ids[c]) for c in words)
-        known.update((c, ids[c[:-1]] + ids[c[-1]]) for c in marked)
-        known.update((c, b"".join([ids[p] for p in ps])) for c, ps in pieces.items())
-        known.update((c, special[c].to_bytes(4, "little")) for c in new if c in special)
-        get = known.__getitem__
-        return [b"".join(map(get, c)) for c in cut]
+        counts = list(map(len, cut))
+        at = np.fromiter(map(known.__getitem__, chain.from_iterable(cut)), np.int64, sum(counts))
+        known.settle(self.encode_chunks(known.new))
+        n = known.size[at]
+        ends = np.cumsum(n)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = known.ids[np.repeat(known.start[at] - (ends - n), n) + np.arange(total)]
+        until = np.r_[0, ends][np.cumsum([0, *counts])].tolist()
+        return [ids[a:b].tobytes() for a, b in zip(until, until[1:])]
 
     def decode(self, ids: bytes) -> str:
         """Text of the ids; broken UTF-8 becomes U+FFFD."""
