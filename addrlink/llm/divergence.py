@@ -15,14 +15,14 @@ of equal counts and ``f`` is evaluated once per cell:
   terms above each gives the values that can reach rank ``TOP``; only their
   cells are expanded to terms, equal values in UTF-8 order.
 * ``pair``: cells (count here, count there) of the terms that both sources
-  have, taken from the distinct count signatures (source, count)... of the
-  terms; the terms that only one source has, and those that neither has, follow
-  from the sources' own cells by inclusion and exclusion.  A term that few
-  sources have therefore costs nothing for the others.
+  have.  The terms that only one of them has, and those that neither has, follow
+  from the sources' own cells by inclusion and exclusion, so a term that few
+  sources have costs nothing for the others.
 
 Text is cut and counted in Arrow batches: a task keeps counts per (lang,
-source, term) and hands them on whenever it holds ``HELD`` terms, so its memory
-is bounded and a hot group is added up before the shuffle.
+source, term) and hands them on, all sources of a term in one row, whenever it
+holds ``HELD`` of them, so its memory is bounded and a hot group is added up
+before the shuffle.
 
 Cases: null text, lang and source count as ''; a text without terms makes its
 group occur all the same; a language without kept terms gives the value 0 for
@@ -35,7 +35,10 @@ from __future__ import annotations
 
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import reduce
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -45,8 +48,10 @@ from addrlink.session import cut_lineage
 MIN_DOCUMENTS = 3
 SCALE = 1_000_000_000
 TOP = 200
-#: Terms that a task holds before it hands their counts on.
-HELD = 300_000
+#: Terms of sources that a task holds before it hands their counts on.
+HELD = 500_000
+#: Rows (groups, count cells) that are broadcast at most; beyond it the joins shuffle.
+BROADCAST_ROWS = 100_000
 
 #: UTF-8 bytes: A-Z become a-z, all other ASCII but letters a space; bytes of longer characters stay.
 FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b > 127 else 32 for b in range(256))
@@ -56,41 +61,47 @@ def terms_of(text: bytes) -> list[bytes]:
     return text.translate(FOLD).split()
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    return docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
+
+
 def count_terms(docs: DataFrame, held: int = HELD) -> DataFrame:
-    """Partial sums lang, source, term, n (occurrences), docs; a row with a null term for a group as such."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    df = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source")],
-                     text.cast("binary").alias("text"))
-    schema = pa.schema([("lang", pa.string()), ("source", pa.string()), ("term", pa.string()),
-                        ("n", pa.int64()), ("docs", pa.int64())])
-
-    def batches_of(groups: dict) -> Iterator[pa.RecordBatch]:
-        for (lang, source), (n, docs_) in groups.items():
-            terms = [*n, None]
+    """Partial sums lang, term, docs, has: array of (source, n)."""
+    schema = pa.schema([("lang", pa.string()), ("term", pa.string()), ("docs", pa.int64()),
+                        ("has", pa.list_(pa.struct([("source", pa.string()), ("n", pa.int64())])))])
+
+    def batches_of(counts: dict, docs_: dict) -> Iterator[pa.RecordBatch]:
+        for lang, of in docs_.items():
+            has: dict[bytes, list] = {t: [] for t in of}
+            for source, n in counts[lang].items():
+                for term, k in n.items():
+                    has[term].append((source, k))
+            sizes = np.fromiter(map(len, has.values()), np.int32, len(has))
+            sources, n = zip(*chain.from_iterable(has.values())) if has else ((), ())
+            pairs = pa.StructArray.from_arrays([pa.array(sources, pa.string()), pa.array(n, pa.int64())], ["source", "n"])
+            lists = pa.ListArray.from_arrays(np.r_[0, np.cumsum(sizes)].astype(np.int32), pairs)
             yield pa.RecordBatch.from_arrays([
-                pa.array([lang] * len(terms), pa.string()), pa.array([source] * len(terms), pa.string()),
-                pa.array([t and t.decode() for t in terms], pa.string()),
-                pa.array([*n.values(), 0], pa.int64()), pa.array([*map(docs_.__getitem__, n), 0], pa.int64())],
-                schema=schema)
+                pa.array([lang] * len(has), pa.string()), pa.array(list(has), pa.binary()).cast(pa.string()),
+                pa.array(of.values(), pa.int64()), lists], schema=schema)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        groups, left = defaultdict(lambda: (Counter(), Counter())), held
+        counts, docs_, left = defaultdict(lambda: defaultdict(Counter)), defaultdict(Counter), held
         for batch in batches:
-            keys = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-            for key, text in zip(keys, batch.column(2)):
-                n, docs_ = groups[key]
+            for lang, source, text in zip(*[batch.column(c).to_pylist() for c in (0, 1)], batch.column(2)):
+                n, words = counts[lang][source], terms_of(text.as_py())
                 before = len(n)
-                words = terms_of(text.as_py())
                 n.update(words)
-                docs_.update(set(words))
+                docs_[lang].update(set(words))
                 left -= len(n) - before
                 if left <= 0:
-                    yield from batches_of(groups)
-                    groups.clear()
+                    yield from batches_of(counts, docs_)
+                    counts.clear()
+                    docs_.clear()
                     left = held
-        yield from batches_of(groups)
+        yield from batches_of(counts, docs_)
 
-    return df.mapInArrow(counted, "lang string, source string, term string, n long, docs long")
+    df = keyed(docs).withColumn("text", F.col("text").cast("binary"))
+    return df.mapInArrow(counted, "lang string, term string, docs long, has array<struct<source:string,n:bigint>>")
 
 
 def share(count: Column, total: Column, terms: Column) -> Column:
@@ -107,14 +118,20 @@ def gap(p: Column, q: Column) -> Column:
 def kept_terms(partial: DataFrame, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
     """lang, term, lang_n, has: array of (source, n); kept terms only.
 
-    One shuffle by (lang, term) serves both sums; ``has`` is as long as the language has sources.
+    Everything follows one shuffle by (lang, term); a term's array is as long as
+    the language has sources (before its sums: times the partial sums).
     """
-    rows = partial.where("term is not null").repartition("lang", "term")
-    one = rows.groupBy("lang", "term", "source").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-    return (one.groupBy("lang", "term").agg(
-        F.sum("docs").alias("docs"), F.sum("n").alias("lang_n"),
-        F.array_sort(F.collect_list(F.struct("source", "n"))).alias("has"))
-        .where(F.col("docs") >= min_documents).drop("docs"))
+    one = (partial.groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.flatten(F.collect_list("has")).alias("has"))
+           .where(F.col("docs") >= min_documents).select("lang", "term", F.explode("has").alias("h"))
+           .groupBy("lang", "term", F.col("h.source").alias("source")).agg(F.sum("h.n").alias("n")))
+    return one.groupBy("lang", "term").agg(
+        F.sum("n").alias("lang_n"), F.array_sort(F.collect_list(F.struct("source", "n"))).alias("has"))
+
+
+def small(df: DataFrame) -> DataFrame:
+    """``df``, written; marked for broadcast if it has few rows."""
+    df = cut_lineage(df)
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
 def term_part(terms: DataFrame, groups: DataFrame, top: int = TOP) -> DataFrame:
@@ -133,7 +150,7 @@ def term_part(terms: DataFrame, groups: DataFrame, top: int = TOP) -> DataFrame:
               .withColumn("k", F.row_number().over(best)).where(F.col("k") <= top)
               .withColumn("before", F.sum("many").over(best) - F.col("many")).where(F.col("before") < top))
     wanted = cells.join(values.select("lang", "source", "value"), ["lang", "source", "value"])
-    named = rows.join(wanted.drop("many"), ["lang", "source", "n", "lang_n"])
+    named = rows.join(small(wanted.drop("many")), ["lang", "source", "n", "lang_n"])
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "term")
     return (named.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
             .select("lang", "source", F.col("term").alias("item"), "value", "rank"))
@@ -141,56 +158,61 @@ def term_part(terms: DataFrame, groups: DataFrame, top: int = TOP) -> DataFrame:
 
 def pair_part(terms: DataFrame, groups: DataFrame) -> DataFrame:
     """lang, source, item, value, rank of every other source of the language."""
-    signatures = terms.groupBy("lang", "has").agg(F.count("*").alias("many"))
-    both = (signatures.select("lang", "has", "many", F.posexplode("has").alias("at", "a"))
-            .select("lang", "many", "a", F.explode(F.expr("slice(has, at + 2, size(has))")).alias("b"))
-            .select("lang", F.col("a.source").alias("x"), F.col("b.source").alias("y"),
-                    F.col("a.n").alias("nx"), F.col("b.n").alias("ny"), "many")
-            .groupBy("lang", "x", "y", "nx", "ny").agg(F.sum("many").alias("many")))
-    # a term of both is no term of one alone: + (nx, ny) - (nx, 0) - (0, ny) + (0, 0), seen from both sides
-    sides = [F.struct(F.col(s).alias("source"), F.col(o).alias("item"), (F.col("n" + s) * a).alias("n"),
-                      (F.col("n" + o) * b).alias("m"), (F.col("many") * (1 if a == b else -1)).alias("many"))
-             for s, o in (("x", "y"), ("y", "x")) for a in (1, 0) for b in (1, 0)]
-    shared = both.select("lang", F.explode(F.array(*sides)).alias("c")).select("lang", "c.*")
-
-    own = (terms.select("lang", F.explode("has").alias("h"))
-           .groupBy("lang", F.col("h.source").alias("source"), F.col("h.n").alias("n")).agg(F.count("*").alias("many")))
-    own = cut_lineage(own)
+    zero = F.lit(0).cast("long")
+    both = (terms.select("has", "lang", F.posexplode("has").alias("at", "a"))
+            .select("lang", "a", F.explode(F.expr("slice(has, at + 2, size(has))")).alias("b"))
+            .groupBy("lang", F.col("a.source").alias("x"), F.col("b.source").alias("y"),
+                     F.col("a.n").alias("nx"), F.col("b.n").alias("ny")).agg(F.count("*").alias("many")))
+    own = cut_lineage(terms.select("lang", F.explode("has").alias("h")).groupBy(
+        "lang", F.col("h.source").alias("source"), F.col("h.n").alias("n")).agg(F.count("*").alias("many")))
     size = own.groupBy("lang", "source").agg(F.sum("many").alias("has"))
-    sized = groups.join(size, ["lang", "source"], "left").withColumn("has", F.coalesce("has", F.lit(0)))
+    sized = cut_lineage(groups.join(size, ["lang", "source"], "left").withColumn("has", F.coalesce("has", F.lit(0))))
+
+    def f(n, total, m, other) -> Column:
+        return gap(share(n, F.col(total), F.col("v")), share(m, F.col(other), F.col("v"))).cast("decimal(38,0)")
+
+    def side(name: str, total: str) -> DataFrame:
+        return sized.select("lang", F.col("source").alias(name), F.col("total").alias(total))
+
+    # a term of both is no term of one alone: + f(n, m) - f(n, 0) - f(0, m) + f(0, 0)
+    shared = both.join(small(sized.select("lang", F.col("source").alias("x"), F.col("total").alias("tx"), "v")), ["lang", "x"])
+    shared = shared.join(small(side("y", "ty")), ["lang", "y"])
+    sums = []
+    for a, b in (("x", "y"), ("y", "x")):
+        n, m, t, u = F.col(f"n{a}"), F.col(f"n{b}"), f"t{a}", f"t{b}"
+        sums.append(F.sum(F.col("many") * (f(n, t, m, u) - f(n, t, zero, u) - f(zero, t, m, u) + f(zero, t, zero, u))))
+    shared = shared.groupBy("lang", "x", "y").agg(sums[0].alias("xy"), sums[1].alias("yx"))
+    shared = shared.select("lang", F.explode(F.array(
+        F.struct(F.col("x").alias("source"), F.col("y").alias("item"), F.col("xy").alias("value")),
+        F.struct(F.col("y").alias("source"), F.col("x").alias("item"), F.col("yx").alias("value")))).alias("s")).select("lang", "s.*")
+
     a, b = sized.alias("a"), sized.alias("b")
     pairs = cut_lineage(a.join(b, F.expr("a.lang = b.lang and a.source <> b.source")).select(
-        "a.lang", "a.source", F.col("b.source").alias("item"), "a.v", F.col("a.total").alias("total"),
-        F.col("b.total").alias("item_total"), (F.col("a.v") - F.col("a.has") - F.col("b.has")).alias("neither")))
-    other = pairs.select("lang", "source", "item")
-    alone = own.join(other, ["lang", "source"]).select(
-        "lang", "source", "item", "n", F.lit(0).cast("long").alias("m"), "many").unionByName(
-        own.join(other.select("lang", F.col("item").alias("source"), F.col("source").alias("item")), ["lang", "source"])
-        .select("lang", F.col("item").alias("source"), F.col("source").alias("item"),
-                F.lit(0).cast("long").alias("n"), F.col("n").alias("m"), "many"))
-    neither = pairs.select("lang", "source", "item", F.lit(0).cast("long").alias("n"),
-                           F.lit(0).cast("long").alias("m"), F.col("neither").alias("many"))
-    cells = shared.unionByName(alone).unionByName(neither).groupBy("lang", "source", "item", "n", "m").agg(
-        F.sum("many").alias("many")).where("many <> 0")
-    value = gap(share(F.col("n"), F.col("total"), F.col("v")), share(F.col("m"), F.col("item_total"), F.col("v")))
-    sums = (cells.join(pairs, ["lang", "source", "item"]).where("v > 0")
-            .groupBy("lang", "source", "item").agg(F.sum(F.col("many").cast("decimal(20,0)") * value).alias("value")))
-    rows = other.join(sums, ["lang", "source", "item"], "left").withColumn(
-        "value", F.coalesce(F.col("value"), F.lit(0)).cast("long"))
+        "a.lang", "a.source", F.col("b.source").alias("item"), "a.v", "a.total", F.col("b.total").alias("item_total"),
+        (F.col("a.v") - F.col("a.has") - F.col("b.has")).alias("neither")))
+    known = pairs.where("v > 0")
+    here = own.join(known, ["lang", "source"]).select(
+        "lang", "source", "item", (F.col("many") * f(F.col("n"), "total", zero, "item_total")).alias("value"))
+    there = own.withColumnRenamed("source", "item").join(known, ["lang", "item"]).select(
+        "lang", "source", "item", (F.col("many") * f(zero, "total", F.col("n"), "item_total")).alias("value"))
+    neither = known.select("lang", "source", "item", (F.col("neither") * f(zero, "total", zero, "item_total")).alias("value"))
+    value = F.coalesce(F.sum(F.col("value").cast("decimal(38,0)")), F.lit(0)).cast("long")
+    parts = [df.select("lang", "source", "item", F.col("value").cast("decimal(38,0)")) for df in (shared, here, there, neither)]
+    parts.append(pairs.select("lang", "source", "item", F.lit(0).cast("decimal(38,0)").alias("value")))
+    rows = reduce(DataFrame.unionByName, parts).groupBy("lang", "source", "item").agg(value.alias("value"))
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     return rows.withColumn("rank", F.row_number().over(order))
 
 
 def audit(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, top: int = TOP) -> DataFrame:
     """lang, source, part, item, value, rank."""
-    partial = cut_lineage(count_terms(docs))
-    terms = cut_lineage(kept_terms(partial, min_documents))
+    terms = cut_lineage(kept_terms(count_terms(docs), min_documents))
     kept = terms.groupBy("lang").agg(F.count("*").alias("v"), F.sum("lang_n").alias("lang_total"))
     totals = (terms.select("lang", F.explode("has").alias("h"))
               .groupBy("lang", F.col("h.source").alias("source")).agg(F.sum("h.n").alias("total")))
     none = F.lit(0).cast("long")
     groups = cut_lineage(
-        partial.where("term is null").select("lang", "source").distinct()
+        keyed(docs).select("lang", "source").distinct()
         .join(totals, ["lang", "source"], "left").join(kept, "lang", "left")
         .select("lang", "source", *[F.coalesce(c, none).alias(c) for c in ("total", "v", "lang_total")]))
     parts = {"pair": pair_part(terms, groups), "term": term_part(terms, groups, top)}
