@@ -25,7 +25,6 @@ columns are ignored.
 
 from __future__ import annotations
 
-import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field, replace
@@ -34,6 +33,7 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
@@ -54,7 +54,8 @@ COUNTED = 300_000
 KNOWN = 300_000
 #: Characters of a word whose n-grams are taken at a time.
 PIECE = 100_000
-LETTERS = re.compile(r"[^\W\d_]+")
+#: Letters alone: no digits, fractions, numerals in circles or combining marks.
+LETTERS = regex.compile(r"\p{L}+")
 
 
 def word_counts(rows: DataFrame) -> DataFrame:
@@ -71,7 +72,8 @@ def word_counts(rows: DataFrame) -> DataFrame:
                     else:
                         for w in LETTERS.findall(cut):
                             words[w] += n
-                yield pd.DataFrame({"lang": lang, "word": list(words), "n": list(words.values())})
+                if words:  # else the texts so far have no letter
+                    yield pd.DataFrame({"lang": lang, "word": list(words), "n": list(words.values())})
             held.clear()
 
         for batch in batches:

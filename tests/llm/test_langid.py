@@ -122,3 +122,13 @@ def test_ngrams_of_all_words_are_counted_in_pieces(spark, monkeypatch):
             for g in langid.ngrams(w, k):
                 want[k, g, lang] += n
     assert {(r["k"], r["gram"], r["lang"]): r["n"] for r in langid.ngram_counts(rows).collect()} == want
+
+
+def test_signs_that_are_no_letters(spark):
+    """Fractions, raised and Roman numerals, circled numbers and bare marks: no letter, so no language."""
+    rows = [(i, "the cat sat on the mat", "en") for i in range(20)] + [(100 + i, "le chat dort ici", "fr") for i in range(20)]
+    signs = ["½", "²", "Ⅷ", "①", "\u0301", "½ ² Ⅷ ① 7 _ -", "٣"]
+    docs = spark.createDataFrame(rows + [(1000 + i, t, "en") for i, t in enumerate(signs)], "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.identify(docs).collect()}
+    assert {got[1000 + i] for i in range(len(signs))} == {"und"} and got[0] == "en" and got[100] == "fr"
+    assert {r["word"] for r in langid.word_counts(docs).collect()} == set("the cat sat on mat le chat dort ici".split())
