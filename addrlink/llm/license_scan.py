@@ -24,7 +24,8 @@ A paragraph that states several licences gives a row for each: beside the
 likeliest every family with a confirmed template that is likelier than none and
 holds a 2-gram foreign to the better ones (CC BY is no part of CC BY-NC).
 
-Cases: null and empty texts have no paragraphs; of equal templates the first by name; repeated
+Cases: null and empty texts have no paragraphs; a text of any number of lines is
+a row per line, of which the lines near an anchor are kept; of equal templates the first by name; repeated
 rows are all returned; an empty table gives an empty result; extra columns are
 ignored.
 """
@@ -39,6 +40,8 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from addrlink.session import cut_lineage
+
 from .common import literal_rows
 
 #: Corpus paragraphs that train the unknown class (first ones of the texts with the smallest hashes).
@@ -182,25 +185,30 @@ def words_column(text):
 def lines_and_runs(docs: DataFrame, anchored: list[str], pattern: str) -> DataFrame:
     """Lines, and runs of two lines or more, with an anchor: id, doc_id, paragraph (first line), end (last one), text, norm."""
     longest = max(len(words(s)) for ss in STATEMENTS.values() for s in ss)
+    known = F.array(*map(F.lit, anchored))
     df = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("id"))
-    df = df.where(has_anchor(F.col("text"), pattern)).withColumn("lines", F.split("text", "\n", -1))
-    df = df.select("id", "doc_id", "lines", F.transform("lines", words_column).alias("ws"))
-    df = df.select("id", "doc_id", "lines", "ws", F.posexplode("ws").alias("paragraph", "first")).where("size(first) > 0")
-    # every line of a block has a word, so no more lines than words are needed
-    taken = F.expr(f"""aggregate(slice(ws, paragraph + 2, {longest}),
-        named_struct('w', cast(array() as array<string>), 'n', 0, 'open', true),
-        (a, x) -> case when a.open and size(x) > 0 and size(a.w) < {longest}
-                  then named_struct('w', concat(a.w, x), 'n', a.n + 1, 'open', true)
+    df = df.where(has_anchor(F.col("text"), pattern))
+    # one row per line from here on: a long text is many rows, never an array in each of them
+    df = df.select("id", "doc_id", F.posexplode(F.split("text", "\n", -1)).alias("paragraph", "line"))
+    df = df.withColumn("w", words_column(F.col("line")))
+    # every line of a block has a word, so a run has no more lines than words are needed
+    of = Window.partitionBy("id").orderBy("paragraph")
+    near = F.max(F.arrays_overlap("w", known)).over(of.rowsBetween(-longest, longest))
+    df = df.withColumn("near", near).where("near")
+    behind = F.collect_list(F.struct("paragraph", "w", "line")).over(of.rangeBetween(1, longest))
+    df = df.withColumn("behind", behind).where("size(w) > 0")
+    taken = F.expr(f"""aggregate(behind, named_struct('w', cast(array() as array<string>), 'n', 0, 'open', true),
+        (a, x) -> case when a.open and x.paragraph = paragraph + a.n + 1 and size(x.w) > 0 and size(a.w) < {longest}
+                  then named_struct('w', concat(a.w, x.w), 'n', a.n + 1, 'open', true)
                   else named_struct('w', a.w, 'n', a.n, 'open', false) end)""")
     df = df.withColumn("more", taken)
-    one = F.struct(F.col("paragraph").alias("end"), F.col("first").alias("w"))
-    run = F.struct(F.expr("paragraph + more.n").alias("end"), F.concat("first", "more.w").alias("w"))
+    one = F.struct(F.col("paragraph").alias("end"), F.col("w"), F.col("line").alias("text"))
+    rest = F.array_join(F.expr("slice(behind.line, 1, more.n)"), "\n")
+    run = F.struct(F.expr("paragraph + more.n").alias("end"), F.concat("w", "more.w").alias("w"),
+                   F.concat("line", F.lit("\n"), rest).alias("text"))
     both = F.when(F.col("more.n") > 0, F.array(one, run)).otherwise(F.array(one))
-    df = df.select("id", "doc_id", "lines", "paragraph", F.explode(both).alias("x"))
-    df = df.where(F.arrays_overlap("x.w", F.array(*map(F.lit, anchored))))
-    return df.select("id", "doc_id", "paragraph", "x.end", F.array_join(
-        F.expr("slice(lines, paragraph + 1, x.end - paragraph + 1)"), "\n").alias("text"),
-        F.array_join("x.w", " ").alias("norm"))
+    df = df.select("id", "doc_id", "paragraph", F.explode(both).alias("x")).where(F.arrays_overlap("x.w", known))
+    return df.select("id", "doc_id", "paragraph", "x.end", "x.text", F.array_join("x.w", " ").alias("norm"))
 
 
 def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
@@ -214,7 +222,8 @@ def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
             F.slice(F.split("text", "\n", -1), 1, 2).alias("p")).distinct().collect())
         model = Model([p for r in sample for p in r["p"]][:SAMPLE])
     pattern = r"(?<![a-z0-9])(?:" + "|".join(model.anchors) + r")(?![a-z0-9])"
-    found = lines_and_runs(docs, model.anchors, pattern)
+    # read twice below: written, so that every text is scanned once
+    found = cut_lineage(lines_and_runs(docs, model.anchors, pattern))
     one = found.select("norm").distinct().withColumn("w", F.split("norm", " "))
     two = F.expr("zip_with(slice(w, 1, size(w) - 1), slice(w, 2, size(w) - 1), (a, b) -> concat(a, ' ', b))")
     terms = one.select("norm", F.explode(F.array_distinct(F.concat("w", two))).alias("term"))

@@ -70,8 +70,10 @@ def test_odd_rows(spark, odd_docs, no_docs, odd_rows):
 
 def test_no_python_in_the_plan(spark, model):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    plan = s.scan(docs, model)._jdf.queryExecution().executedPlan().toString()
-    assert not any(x in plan for x in ("Python", "Arrow", "Pandas", "Cartesian", "ExistingRDD"))
+    pattern = r"(?<![a-z0-9])(?:" + "|".join(model.anchors) + r")(?![a-z0-9])"
+    for df in (s.lines_and_runs(docs, model.anchors, pattern), s.scan(docs, model)):  # before and behind the written lines
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert not any(x in plan for x in ("Python", "Arrow", "Pandas", "Cartesian", "NestedLoop"))
 
 
 MIT = ["Permission is hereby granted, free of charge, to any person obtaining a copy",
@@ -99,3 +101,41 @@ def test_a_line_with_two_licences_gives_both(spark, model):
     docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
     got = sorted((r["doc_id"], r["family"]) for r in s.scan(docs, model).where("confirmed").collect())
     assert got == [(0, "apache"), (0, "mit"), (1, "cc-by-nc"), (2, "cc-by"), (3, "cc-by-nc"), (3, "mit")]
+
+
+def brute_runs(text, anchors):
+    """Lines and runs with an anchor, from the text alone."""
+    longest = max(len(s.words(x)) for ss in s.STATEMENTS.values() for x in ss)
+    lines = text.split("\n")
+    ws = [[w for w in s.re.split("[^a-z0-9]+", x.lower()) if w] for x in lines]
+    out = []
+    for i, first in enumerate(ws):
+        if not first:
+            continue
+        end, more = i, []
+        while end + 1 < len(ws) and ws[end + 1] and len(more) < longest:
+            end += 1
+            more += ws[end]
+        for last, w in {(i, tuple(first)), (end, tuple(first + more))}:
+            if set(w) & set(anchors):
+                out.append((i, last, "\n".join(lines[i:last + 1]), " ".join(w)))
+    return sorted(out)
+
+
+def test_runs_match_brute_force(spark, model):
+    rng = random.Random(6)
+    some = [*MIT, *BSD, "", "", "x", "a b c", "All rights reserved.", "plain words of a text", " * licence", "Ünder the Lizenz"]
+    texts = ["\n".join(rng.choices(some, k=rng.randint(1, 90))) for _ in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    pattern = r"(?<![a-z0-9])(?:" + "|".join(model.anchors) + r")(?![a-z0-9])"
+    got = [(r["doc_id"], r["paragraph"], r["end"], r["text"], r["norm"])
+           for r in s.lines_and_runs(docs, model.anchors, pattern).collect()]
+    assert sorted(got) == sorted((i, *x) for i, t in enumerate(texts) for x in brute_runs(t, model.anchors)) and len(got) > 500
+
+
+def test_a_text_of_many_lines(spark, model):
+    lines = [f"line {i} of plain words that go on and on" for i in range(50_000)]
+    text = "\n".join([*lines, "", *MIT, "", "Released under the MIT License."])
+    docs = spark.createDataFrame([(1, text), (2, "\n".join(["Released under the MIT License."] * 3000))], "doc_id long, text string")
+    got = sorted((r["doc_id"], r["paragraph"]) for r in s.scan(docs, model).where("confirmed").collect())
+    assert got == [(1, 50_001), (1, 50_005), *[(2, i) for i in range(3000)]]
