@@ -18,12 +18,13 @@ interval and their sums bound the scores of all rows below the box.  Anchors
 are searched in blocks of ``BLOCK``, a block against one tile after another: a
 queue holds the nodes, the one with the highest bound first; a node is left out
 for an anchor if its interval misses the anchor's score window or ends strictly
-below the anchor's kth score so far (equal ones stay, as ties go by id).  A task
-remembers the kth scores of a block over the tiles it meets.
+below the anchor's kth score so far (equal ones stay, as ties go by id).  A first
+group of tiles is searched ahead and its kth scores go to all tasks; a task
+remembers those of a block over the tiles it meets.
 
 Blocks meet tiles by an equi-join on a group of at most ``GROUP`` tiles: a
 stated set of anchors against all rows, a block going once to each group.  A
-task holds one group of tiles and the best rows of ``OPEN`` blocks.
+task holds one group of tiles and the best rows of ``OPEN`` anchors.
 
 Cases: rows with a null id, label or vector, or a null or non-finite component,
 take no part; components stop at +-``LIMIT`` (beyond 131,000 before scaling),
@@ -55,8 +56,8 @@ NEGATIVES = 10
 LOW, HIGH = 30, 90
 TILE, LEAF, FAN = 1024, 64, 4
 BLOCK = 256
-#: Tiles of a group; blocks whose best rows a task remembers at a time.
-GROUP, OPEN = 64, 64
+#: Tiles of a group; anchors (of whole blocks) whose best rows a task remembers at a time.
+GROUP, OPEN = 64, 16_384
 #: Slabs of the first coordinate at most.
 SLABS = 64
 #: Candidates that a search gathers before it drops those beyond the kth.
@@ -257,32 +258,53 @@ class Tree:
         cores = items.sparkSession.sparkContext.defaultParallelism
         self.groups = max(1, min(n, max(2 * cores, -(-n // GROUP))))
 
-    def best(self, anchors: DataFrame, k: int, same: bool) -> DataFrame:
-        """rid, place, rank, score, id: the k best rows of each anchor (rid, place, label, v, low, high)."""
+    def found(self, anchors: DataFrame, k: int, same: bool, first: int, last: int) -> DataFrame:
+        """rid, place, score, id: the k best rows of each anchor in every part of the groups that a task meets."""
         blocks = packed(anchors, self.axes, self.bounds, BLOCK, _BLOCK)
         blocks = blocks.select(F.col("part").alias("block"), "dim", *[F.col(c).alias("q_" + c) for c in _BLOCK],
-                               F.explode(F.sequence(F.lit(0), F.lit(self.groups - 1))).alias("g"))
+                               F.explode(F.sequence(F.lit(first), F.lit(last))).alias("g"))
         tiles = self.tiles.withColumn("g", F.pmod(F.xxhash64("part"), F.lit(self.groups)).cast("int"))
         met = blocks.join(tiles, ["g", "dim"]).select("block", "dim", *["q_" + c for c in _BLOCK], *_TILE)
 
         def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held: dict[int, Block] = {}
+            n = 0
             for batch in batches:
                 for row in batch.to_pylist():
                     block = held.pop(row["block"], None)
                     if block is None:
                         block = Block(row["dim"], row["q_vectors"],
                                       {c: row["q_" + c] for c in _BLOCK if c != "vectors"}, k, same)
+                        n += len(block.rid)
                     held[row["block"]] = block  # the one used last comes last
                     block.search(Tile(row["dim"], *[row[c] for c in _TILE]))
-                    if len(held) > OPEN:
-                        yield held.pop(next(iter(held))).found()
+                    while n > OPEN and len(held) > 1:
+                        oldest = held.pop(next(iter(held)))
+                        n -= len(oldest.rid)
+                        yield oldest.found()
             for block in held.values():
                 yield block.found()
 
+        return met.mapInArrow(searched, "rid long, place long, score long, id long")
+
+    def best(self, anchors: DataFrame, k: int, same: bool) -> DataFrame:
+        """rid, place, rank, score, id: the k best rows of each anchor (rid, place, label, v, low, high).
+
+        The first group of tiles goes ahead: where it holds k rows, the kth score
+        is what all other groups have to reach, whichever task searches them.
+        """
         of = Window.partitionBy("rid", "place").orderBy(F.desc("score"), "id")
-        return (met.mapInArrow(searched, "rid long, place long, score long, id long")
-                .withColumn("rank", F.row_number().over(of)).where(F.col("rank") <= k))
+
+        def ranked(rows: DataFrame) -> DataFrame:
+            return rows.withColumn("rank", F.row_number().over(of)).where(F.col("rank") <= k)
+
+        ahead = ranked(self.found(anchors, k, same, 0, 0))
+        if self.groups == 1:
+            return ahead
+        ahead = cut_lineage(ahead)
+        kth = ahead.where(F.col("rank") == k).select("rid", "place", F.col("score").alias("kth"))
+        rest = anchors.join(kth, ["rid", "place"], "left").withColumn("low", F.greatest("low", "kth")).drop("kth")
+        return ranked(ahead.drop("rank").union(self.found(rest, k, same, 1, self.groups - 1)))
 
 
 def mine(rows: DataFrame, anchor: Column, positives: int = POSITIVES, negatives: int = NEGATIVES,

@@ -45,7 +45,7 @@ def test_same_as_brute_force(spark, monkeypatch, dim):
     monkeypatch.setattr(h, "TILE", 128)  # several slabs, tiles, inner nodes and blocks
     monkeypatch.setattr(h, "LEAF", 8)
     monkeypatch.setattr(h, "BLOCK", 7)
-    monkeypatch.setattr(h, "OPEN", 2)
+    monkeypatch.setattr(h, "OPEN", 20)
     rows = vectors(1500, dim, dim)
     got_ = got(h.mine(frame(spark, rows), h.F.col("vec_id") % 50 == 0))
     assert got_ == brute(rows, lambda i: i % 50 == 0) and len(got_) > 300
