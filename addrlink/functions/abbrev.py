@@ -4,14 +4,15 @@ A regex join of every dictionary term against every label (the reference's
 UPDATE ... FROM) recompiles patterns per row and is a nested-loop join.  Here
 the dictionary, a small bounded input, is compiled once into
 
-* one word-bounded alternation of the literal terms, longest first, whose
-  leftmost hit is looked up in a literal map and spliced in place, and
+* one word-bounded alternation per length of the literal terms, tried from the
+  longest length down; its leftmost hit is looked up in a literal map and
+  spliced in place, and
 * the few true-regex entries as ordered first-only replacements that take
   precedence (they are the longest entries).
 
 Each pass rewrites at most one occurrence per label (the reference's
-one-rule-per-row UPDATE); rule choice is deterministic: leftmost hit, longest
-term at that position.
+one-rule-per-row UPDATE); rule choice is deterministic: the longest term
+anywhere in the label, of equally long ones the leftmost.
 
 That is for curated dictionaries, whose pairs are given as Python values.  A
 dictionary that is a table, of whatever size, is joined instead
@@ -23,11 +24,12 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .text import _c, shift_groups
+from .text import _c, shift_groups, trie_alt
 
 #: Characters of a word, as the word boundary of the patterns has them.
 WORD = r"[\p{L}\p{Nd}_]"
@@ -60,27 +62,22 @@ class AbbrevDict:
         return AbbrevDict(tuple(sorted(lit.items(), key=by_len)),
                           tuple(sorted(rx.items(), key=by_len)))
 
-    def literal_pattern(self, trie: bool = False) -> str:
-        if trie:
-            from .text import trie_alt
-            return "\\b(" + trie_alt(a for a, _ in self.literal) + ")\\b"
-        return "\\b(" + "|".join(re.escape(a) for a, _ in self.literal) + ")\\b"
+    def by_length(self) -> list[list[tuple[str, str]]]:
+        """Literal terms of one length each, from the longest down."""
+        return [list(g) for _, g in groupby(self.literal, lambda kv: len(kv[0]))]
 
 
 def abbreviate_once(c, d: AbbrevDict) -> Column:
     """One pass: at most one term rewritten per label."""
     c = _c(c)
     out = c
-    if d.literal:
-        pat = "(?s)^(.*?)" + d.literal_pattern(trie=True)
-        prefix = F.regexp_extract(c, pat, 1)
-        hit = F.regexp_extract(c, pat, 2)
-        kv = []
-        for a, b in d.literal:
-            kv += [F.lit(a), F.lit(b)]
-        short = F.element_at(F.create_map(*kv), hit)
+    for terms in reversed(d.by_length()):  # the longest ends up outermost and is tried first
+        word = "\\b(" + trie_alt(a for a, _ in terms) + ")\\b"
+        first = "(?s)^(.*?)" + word
+        prefix, hit = F.regexp_extract(c, first, 1), F.regexp_extract(c, first, 2)
+        short = F.element_at(F.create_map(*[F.lit(x) for kv in terms for x in kv]), hit)
         spliced = F.concat(prefix, short, F.substr(c, F.length(prefix) + F.length(hit) + 1))
-        out = F.when(hit != "", spliced).otherwise(c)
+        out = F.when(c.rlike(word), spliced).otherwise(out)
     # regex entries: the first (longest) one that changes the label wins
     for a, b in reversed(d.regex):
         pat = "\\b(?:" + a + ")\\b"
@@ -125,7 +122,7 @@ def abbreviate_join(df: DataFrame, col: str, dictionary: DataFrame, long_col: st
         after = F.substr(F.col("_out"), F.col("_i") + F.length("_t.a"), F.lit(1))
         hits = hits.filter(~after.rlike(f"^{WORD}"))
         first = hits.groupBy("_label").agg(F.min_by(
-            F.struct("_i", "_t"), F.struct(F.col("_i"), -F.length("_t.a"))).alias("_h"))
+            F.struct("_i", "_t"), F.struct(-F.length("_t.a"), F.col("_i"))).alias("_h"))
         now = now.join(first, "_label", "left").select("_label", F.when(
             F.col("_h").isNotNull(),
             F.concat(F.substr(F.col("_out"), F.lit(1), F.col("_h._i") - 1), F.col("_h._t.b"),

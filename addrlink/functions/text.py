@@ -542,7 +542,7 @@ def trigram_similarity_arrays(a: ColumnOrName, b: ColumnOrName) -> Column:
     """|a ∩ b| / |a ∪ b| as float32 (0 when both are empty)."""
     a, b = _c(a), _c(b)
     inter = F.size(F.array_intersect(a, b))
-    union = F.size(F.array_union(a, b))
+    union = F.size(a) + F.size(b) - inter  # both are sets
     return F.when(union == 0, F.lit(0.0).cast("float")).otherwise(
         (inter.cast("double") / union).cast("float"))
 

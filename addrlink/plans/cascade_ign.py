@@ -14,13 +14,17 @@ join, longest type); M26 uses the merger table (former municipality name).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import replace
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import cascade as C
+from ..operators.fuzzy import edit_pairs, trigram_pairs
 from ..operators.relational import join_leading_term, unmatched
-from .q_matching import SPARK_PASSES
 
 
 def _nb(c: Column) -> Column:
@@ -64,7 +68,53 @@ def ign_sides(fantoir: DataFrame, ign_group: DataFrame, labels: DataFrame, types
     return left, right
 
 
-# ----------------------------------------------------------------- passes not shared with the driver queries
+# ----------------------------------------------------------------- key pairs, one set per measure
+def trigram_keys(la: DataFrame, ra: DataFrame) -> DataFrame:
+    """Finder of M14, M17 (L13): labels of a block within a trigram distance of 0.4."""
+    return trigram_pairs(la.withColumn("tri", T.trigram_codes("lk")), ra.withColumn("tri", T.trigram_codes("rk")),
+                         "block", "lk", "rk", "tri", "tri", 0.4)
+
+
+def edit_keys(la: DataFrame, ra: DataFrame) -> DataFrame:
+    """Finder of M15, M16, M18, M30 (L14-L16): labels of a block within two edits."""
+    return edit_pairs(la.filter(F.length("lk") > 4), ra.filter(F.length("rk") > 4), "block", "lk", "rk", "lk", "rk", 2)
+
+
+def edit_names(la: DataFrame, ra: DataFrame) -> DataFrame:
+    """Finder of M19: full names of a block within one edit."""
+    return edit_pairs(la.filter(F.length("lk") > 5), ra.filter(F.length("rk") > 5), "block", "lk", "rk", "lk", "rk", 1)
+
+
+def longer(n: int) -> Column:
+    """Both keys are longer than ``n`` characters."""
+    return (F.col("llen") > n) & (F.col("rlen") > n)
+
+
+# ----------------------------------------------------------------- passes
+def _named(side: DataFrame) -> Column:
+    return _nb(F.col("name"))
+
+
+def _same_id(rule: str, pred) -> C.SameIdPass:
+    return C.SameIdPass(rule, pred, right_filter=_named)
+
+
+def _court(fmt) -> Callable:
+    """Predicate: the tax label is the IGN label rewritten by ``fmt``."""
+    return lambda l, r: F.col("l.court") == fmt(F.col("r.court"))
+
+
+def final_letter(l, r) -> Column:
+    """Labels that differ by one final E, S or X on either side."""
+    lc, rc = F.col("l.court"), F.col("r.court")
+    one = [a == F.concat(b, F.lit(x)) for x in "ESX" for a, b in ((rc, lc), (lc, rc))]
+    return reduce(lambda a, b: a | b, one)
+
+
+def m1(): return C.SameIdPass("M1", lambda l, r: F.col("l.name") == F.col("r.name"))
+def m2(): return _same_id("M2", lambda l, r: F.col("l.court") == F.col("r.court"))
+
+
 def m3() -> C.SameIdPass:
     """Same id, same leading type and same last word (last word is not the type)."""
     return C.SameIdPass("M3", lambda l, r: F.col("r.t").isNotNull() & (F.col("r.t") == F.col("l.t")) &
@@ -72,22 +122,8 @@ def m3() -> C.SameIdPass:
                         left_filter=lambda l: F.col("name").isNotNull())
 
 
-def _typed_pass(rule: str, lcol: str, rcol: str, lcond, rcond, differ: bool) -> C.OneToOnePass:
-    def finder(la, ra):
-        a = la.filter(lcond).select("block", "lk", F.col(lcol).alias("_j"), F.col("t").alias("_lt"))
-        b = ra.filter(rcond).select(F.col("block").alias("_b"), "rk", F.col(rcol).alias("_j2"),
-                                    F.col("t").alias("_rt"))
-        j = a.join(b, (a["block"] == b["_b"]) & (a["_j"] == b["_j2"]))
-        if differ:
-            j = j.filter(F.col("_lt") != F.col("_rt"))
-        return j.select("block", "lk", "rk")
-    return C.OneToOnePass(rule, "court", "court", finder, id_check=True,
-                          extra_left=["t", "rest"], extra_right=["t", "rest"])
-
-
-def m10(): return _typed_pass("M10", "rest", "rest", F.col("t").isNotNull(), F.col("t").isNotNull(), True)
-def m11(): return _typed_pass("M11", "lk", "rest", F.lit(True), F.col("t").isNotNull(), False)
-def m12(): return _typed_pass("M12", "rest", "rk", F.col("t").isNotNull(), F.lit(True), False)
+def m4(): return C.OneToOnePass("M4", "name", "name", C.equal_keys, group_side="l")
+def m5(): return C.OneToOnePass("M5", "court", "court", C.equal_keys)
 
 
 def m6() -> C.SameIdPass:
@@ -95,44 +131,114 @@ def m6() -> C.SameIdPass:
     return C.SameIdPass(
         "M6", lambda l, r: F.col("r.court").startswith("ENCEINTE ") & F.col("l.court").startswith("EN ") &
         (F.regexp_replace("r.court", "^ENCEINTE ", "") == F.regexp_replace("l.court", "^EN ", "")) &
-        (F.length("r.court") > 11),
-        left_filter=lambda l: _nb(F.col("name")))
+        (F.length("r.court") > 11), left_filter=_named)
+
+
+def m7(): return C.SameIdPass("M7", final_letter, left_filter=_named)
+
+
+def trigram_same_id(rule: str, cmp, guard: str = "r.court", left_filter=_named) -> C.SameIdPass:
+    """Same id and a trigram distance for which ``cmp`` holds; ``guard`` is longer than 6."""
+    distance = lambda l, r: T.trigram_distance_arrays("l.tri", "r.tri")
+    return C.SameIdPass(rule, lambda l, r: cmp(distance(l, r)) & (F.length(guard) > 6),
+                        left_filter=left_filter, trigram=distance)
+
+
+def m8(): return trigram_same_id("M8", lambda d: d == 0)
 
 
-def m9b() -> C.OneToOnePass:
+_M9 = C.rewritten_keys(lambda lk: F.regexp_replace(lk, "^EN ", ""), lambda rk: rk, lcond=lambda lk: lk.startswith("EN "))
+_M9B = C.rewritten_keys(lambda lk: lk, lambda rk: F.regexp_replace(rk, "^EN ", "EN"), rcond=lambda rk: rk.startswith("EN "))
+
+
+def m9():
+    """``EN x`` (tax) <-> ``x`` (IGN) inside the block, 1-1, id check."""
+    return C.OneToOnePass("M9", "court", "court", _M9, id_check=True)
+
+
+def m9b():
     """Second direction of M9: ``EN x`` (IGN) <-> ``ENx`` (tax)."""
-    return C.OneToOnePass("M9", "court", "court", C.rewritten_keys(
-        lambda lk: lk, lambda rk: F.regexp_replace(rk, "^EN ", "EN"),
-        rcond=lambda rk: rk.startswith("EN ")), id_check=True)
+    return C.OneToOnePass("M9", "court", "court", _M9B, id_check=True, with_previous=True)
+
+
+def typed_keys(lcol: str, rcol: str, differ: bool = False, lt: str | None = "t", rt: str | None = "t"):
+    """Finder: equal labels of a block once the leading types are off.
+
+    ``lcol``/``rcol``: what is compared on each side (the whole key or its
+    rest); ``lt``/``rt``: type columns that must be known; ``differ``: and differ.
+    """
+    def finder(la: DataFrame, ra: DataFrame) -> DataFrame:
+        a = la.filter(F.col(lt).isNotNull()) if lt else la
+        b = ra.filter(F.col(rt).isNotNull()) if rt else ra
+        a = a.select("block", "lk", F.col(lcol).alias("_j"), (F.col(lt) if lt else F.lit(None)).alias("_lt"))
+        b = b.select(F.col("block").alias("_b"), "rk", F.col(rcol).alias("_k"), (F.col(rt) if rt else F.lit(None)).alias("_rt"))
+        j = a.join(b, (a["block"] == b["_b"]) & (a["_j"] == b["_k"]))
+        return (j.filter(F.col("_lt") != F.col("_rt")) if differ else j).select("block", "lk", "rk")
+    return finder
+
+
+def _typed_pass(rule: str, finder, id_check: bool) -> C.OneToOnePass:
+    return C.OneToOnePass(rule, "court", "court", finder, id_check=id_check, extra_left=["t", "rest"],
+                          extra_right=["t", "rest"])
+
+
+def m10(id_check: bool = True): return _typed_pass("M10", typed_keys("rest", "rest", differ=True), id_check)
+def m11(id_check: bool = True): return _typed_pass("M11", typed_keys("lk", "rest", lt=None), id_check)
+def m12(id_check: bool = True): return _typed_pass("M12", typed_keys("rest", "rk", rt=None), id_check)
+def m13(): return trigram_same_id("M13", lambda d: d < 0.15)
+
 
+def _trigram(rule: str, t: float, **kw) -> C.OneToOnePass:
+    return C.OneToOnePass(rule, "court", "court", trigram_keys, accept=(F.col("trigram") < t) & (F.col("rlen") > 6), **kw)
 
-def _same_id(rule, pred) -> C.SameIdPass:
-    return C.SameIdPass(rule, pred, right_filter=lambda r: _nb(F.col("nom")))
 
+def _edits(rule: str, k: int, n: int, **kw) -> C.OneToOnePass:
+    return C.OneToOnePass(rule, "court", "court", edit_keys, accept=(F.col("levenshtein") < k) & longer(n), **kw)
 
-def m22(): return _same_id("M22", lambda l, r: F.col("l.court") == F.concat(F.col("r.court"), F.lit(" EST")))
-def m23(): return _same_id("M23", lambda l, r: F.col("l.court") == F.concat(F.col("r.court"), F.lit(" OUEST")))
-def m24(): return _same_id("M24", lambda l, r: F.col("l.court") == F.concat(F.col("r.court"), F.lit(" HAM")))
+
+def m14(): return _trigram("M14", 0.4, id_check=True, left_filter=_named)
+def m15(): return _edits("M15", 2, 6, id_check=True, left_filter=_named)
+def m16(): return _edits("M16", 3, 10, id_check=True, left_filter=_named)
+def m17(): return _trigram("M17", 0.15, drop_doubles=True)
+def m18(): return _edits("M18", 2, 6, drop_doubles=True)
+
+
+def m19():
+    """One edit between full names longer than 5, 1-1 by tax name, id check, doubles dropped."""
+    return C.OneToOnePass("M19", "name", "name", edit_names, group_side="l", id_check=True, drop_doubles=True,
+                          left_filter=_named, accept=(F.col("levenshtein") < 2) & longer(5))
+
+
+def m20(): return _same_id("M20", _court(lambda c: F.concat(c, F.lit(" SUD"))))
+def m21(): return _same_id("M21", _court(lambda c: F.concat(c, F.lit(" NORD"))))
+def m22(): return _same_id("M22", _court(lambda c: F.concat(c, F.lit(" EST"))))
+def m23(): return _same_id("M23", _court(lambda c: F.concat(c, F.lit(" OUEST"))))
+def m24(): return _same_id("M24", _court(lambda c: F.concat(c, F.lit(" HAM"))))
+def m25(): return _same_id("M25", _court(lambda c: F.concat(F.lit("SOUS "), c)))
 def m26(): return C.SameIdPass("M26", lambda l, r: F.col("l.court") == F.col("r.court_obs"),
-                               right_filter=lambda r: _nb(F.col("nom")) & F.col("insee_obs").isNotNull())
-def m27(): return _same_id("M27", lambda l, r: F.col("r.court") ==
-                           F.concat(F.col("l.court"), F.lit(" "), F.col("r.paren")))
-def m28(): return _same_id("M28", lambda l, r: F.col("l.court") ==
-                           F.concat(F.col("r.court"), F.lit(" "), F.col("l.paren")))
-
-
-def ign_passes() -> list:
-    """The automatic passes in the reference order (M9 runs both directions)."""
-    P = {k: v for k, v in SPARK_PASSES.items()}
-    P.update({"M3": m3, "M6": m6, "M10": m10, "M11": m11, "M12": m12, "M22": m22, "M23": m23, "M24": m24,
-              "M26": m26, "M27": m27, "M28": m28})
-    order = ["M1", "M2", "M3", "M4", "M5", "M6", "M7", "M8", "M9", "M9b", "M10", "M11", "M12", "M13",
-             "M14", "M15", "M16", "M17", "M18", "M19", "M20", "M21", "M22", "M23", "M24", "M25",
-             "M26", "M27", "M28", "M29", "M30"]
-    out = []
-    for name in order:
-        out.append(m9b() if name == "M9b" else P[name]())
-    return out
+                               right_filter=lambda r: _named(r) & F.col("insee_obs").isNotNull())
+def m27(): return _same_id("M27", lambda l, r: F.col("r.court") == F.concat(F.col("l.court"), F.lit(" "), F.col("r.paren")))
+def m28(): return _same_id("M28", lambda l, r: F.col("l.court") == F.concat(F.col("r.court"), F.lit(" "), F.col("l.paren")))
+
+
+def m29():
+    """The IGN label cut to the tax label's length (tax labels end at 26 characters)."""
+    return _same_id("M29", lambda l, r: (F.length("l.court") > 9) & (
+        F.col("l.court") == F.substr(F.col("r.court"), F.lit(1), F.length("l.court"))))
+
+
+def m30(): return _edits("M30", 2, 4, id_check=True, left_filter=_named)
+
+
+#: The automatic passes in the reference order (M9 runs both directions).
+IGN_PASSES = [m1, m2, m3, m4, m5, m6, m7, m8, m9, m9b, m10, m11, m12, m13, m14, m15, m16, m17, m18, m19,
+              m20, m21, m22, m23, m24, m25, m26, m27, m28, m29, m30]
+
+
+def ign_passes() -> list[C.Pass]:
+    """The cascade; the first three passes ask for a free IGN street only (M31 then purges doubles)."""
+    passes = [p() for p in IGN_PASSES]
+    return [replace(p, free="right") for p in passes[:3]] + passes[3:]
 
 
 def link_tax_ign(fantoir: DataFrame, ign_group: DataFrame, labels: DataFrame, types: DataFrame,
@@ -148,12 +254,10 @@ def link_tax_ign(fantoir: DataFrame, ign_group: DataFrame, labels: DataFrame, ty
     res = C.run_cascade(left, right, passes if passes is not None else ign_passes())
     links = res.links
     if decisions is not None:
-        # Human decisions for still-unmatched IGN groups
-        dec = decisions.filter(F.col("app") == 1).select(F.col("id_pseudo_fpb").cast("string").alias("rid"),
-                                                         F.col("id_fantoir").cast("string").alias("lid"))
-        cand = unmatched(right, links, "rid").select("rid")
-        human = dec.join(cand, "rid", "left_semi").select(
-            "lid", "rid", F.lit("M32").alias("rule"), F.col("lid").alias("ref"),
+        # Still-unmatched IGN streets that a human confirmed get the tax id they carry
+        dec = decisions.filter(F.col("app") == 1).select(F.col("id_pseudo_fpb").cast("string").alias("rid"))
+        human = unmatched(right, links, "rid").join(dec, "rid", "left_semi").select(
+            F.col("ref").alias("lid"), "rid", F.lit("M32").alias("rule"), "ref",
             F.lit(None).cast("float").alias("trigram"), F.lit(None).cast("float").alias("levenshtein"),
             F.lit(len(ign_passes()) + 1).alias("step"))
         links = links.unionByName(human)

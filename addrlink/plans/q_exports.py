@@ -9,13 +9,15 @@ from pyspark.sql import functions as F
 from .. import sqlfrag as S
 from ..catalog import query
 from ..functions import text as T
+from ..operators import cascade as C
 from ..operators import relational as R
 from ..session import ensure_checkpoint_dir, read_table
 from ..sinks import ndjson as K
 from ..sources import readers as SR
 from . import housenumbers as H
 from .q_housenumbers import MODEL_SQL, _hn, model
-from .q_matching import PARITY_SQL, doc_groups, m5, sql_one_to_one
+from . import cascade_ign as I
+from .q_matching import PARITY_SQL, doc_groups, sql_one_to_one
 
 
 def scratch_dir(spark, name: str) -> str:
@@ -155,17 +157,17 @@ def merge_groups(spark, sf):
     """Merged group table (left rows + links + unlinked right
     rows), display-name priority, unnamed rows dropped, dense surrogate ids."""
     l, r = doc_groups(spark, sf)
-    links = m5().run(l, r).select("lid", "rid")
-    lk = (l.join(links, "lid", "left")
-          .join(r.select("rid", F.col("name").alias("nom_ign")), "rid", "left")
-          .select("lid", "rid", "block", F.col("name").alias("nom_fantoir"), "nom_ign"))
-    ru = R.unmatched(r, links, "rid").select("rid", "block", F.col("name").alias("nom_ign"))
+    links = C.Matcher(l, r, [I.m5()]).independent().select("lid", "rid")
+    # the result needs the length of a name only: no text takes part in the joins below
+    size = F.length("name")
+    lk = (l.select("lid", "block", size.alias("len_fantoir")).join(links, "lid", "left")
+          .join(r.select("rid", size.alias("len_ign")), "rid", "left"))
+    ru = R.unmatched(r.select("rid", "block", size.alias("len_ign")), links, "rid")
     g = R.append(lk, ru)
-    g = g.withColumn("nom_maj_fnal", F.coalesce("nom_ign", "nom_fantoir")).filter(F.col("nom_maj_fnal") != "")
+    g = g.withColumn("name_len", F.coalesce("len_ign", "len_fantoir")).filter(F.col("name_len") > 0)
     g = g.withColumn("_o1", F.coalesce("lid", F.lit(""))).withColumn("_o2", F.coalesce("rid", F.lit("")))
     g = R.assign_ids(g, ["_o1", "_o2"])
-    return g.select("id", "lid", "rid", "block", F.length("nom_maj_fnal").alias("name_len"),
-                    F.col("nom_ign").isNotNull().alias("has_ign"))
+    return g.select("id", "lid", "rid", "block", "name_len", F.col("len_ign").isNotNull().alias("has_ign"))
 
 
 # ------------------------------------------------------------------ audit
@@ -306,7 +308,7 @@ def csv_reports(spark, sf):
     """Unmatched right groups exported for review (sorted, previous
     decisions joined back), written as ';' CSV and read back."""
     l, r = doc_groups(spark, sf)
-    links = m5().run(l, r).select("lid", "rid")
+    links = C.Matcher(l, r, [I.m5()]).independent().select("lid", "rid")
     un = R.unmatched(r, links, "rid")
     decisions = r.select(F.col("rid").alias("id_pseudo_fpb"),
                          F.when(F.col("rid").cast("bigint") % 3 == 0, F.lit("1")).alias("app"))

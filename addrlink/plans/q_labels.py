@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from .. import sqlfrag as S
 from ..catalog import query
 from ..functions import text as T
-from ..functions.abbrev import AbbrevDict
+from ..functions.abbrev import abbreviate_join
 from ..session import read_table
 from .driver_map import light_court
 
@@ -221,12 +221,15 @@ ABBREV_VALUES = [("SMALL", "SM"), ("LARGE", "LG"), ("MEDIUM", "MED"), ("WIDGET",
 
 
 def _abbrev_sql(x: str) -> str:
-    d = AbbrevDict.from_pairs(ABBREV_VALUES)
-    pat = "^(.*?)" + d.literal_pattern()
-    case = "CASE hit " + " ".join(f"WHEN {S.q(a)} THEN {S.q(b)}" for a, b in d.literal) + " END"
-    return (f"(SELECT CASE WHEN hit <> '' THEN prefix || {case} || substr({x}, length(prefix) + length(hit) + 1) "
-            f"ELSE {x} END FROM (SELECT regexp_extract({x}, {S.q(pat)}, 1) AS prefix, "
-            f"regexp_extract({x}, {S.q(pat)}, 2) AS hit))")
+    """One pass, written on its own: the longest term found anywhere, of equally long ones the leftmost."""
+    out = x
+    for n in sorted({len(a) for a, _ in ABBREV_VALUES}):
+        terms = [(a, b) for a, b in ABBREV_VALUES if len(a) == n]
+        pat = S.q("\\b(" + "|".join(a for a, _ in terms) + ")\\b")
+        hit = f"regexp_extract({x}, {pat}, 1)"
+        cases = " ".join(f"WHEN {S.q(a)} THEN regexp_replace({x}, {pat}, {S.q(b)})" for a, b in terms)
+        out = f"CASE {hit} {cases} ELSE {out} END"
+    return out
 
 
 def _scraps_sql(x: str) -> str:
@@ -246,13 +249,11 @@ SELECT p_partkey, a1 AS pass1, a4 AS court,
 FROM a4
 """)
 def abbreviate(spark, sf):
-    """Dictionary abbreviation, four passes, one rule per pass."""
-    from ..functions.abbrev import abbreviate_once
-    d = AbbrevDict.from_pairs(ABBREV_VALUES)
-    p = read_table(spark, sf, "part").select(
-        "p_partkey", F.concat_ws(" ", F.upper("p_name"), F.upper("p_name")).alias("a0"))
-    for i in range(1, 5):
-        p = p.withColumn(f"a{i}", abbreviate_once(F.col(f"a{i - 1}"), d))
+    """Abbreviation by a dictionary table, four passes, one rule per pass."""
+    dictionary = spark.createDataFrame(ABBREV_VALUES, "txt_long string, txt_court string")
+    p = read_table(spark, sf, "part").select("p_partkey", F.concat_ws(" ", F.upper("p_name"), F.upper("p_name")).alias("a1"))
+    p = abbreviate_join(p, "a1", dictionary, rounds=1)
+    p = abbreviate_join(p.withColumn("a4", F.col("a1")), "a4", dictionary, rounds=3)
     k = F.col("p_partkey") % 7
     pre = (F.when(k == 0, F.lit("ZA ZA")).when(k == 1, F.concat(F.lit("R "), F.col("a4")))
            .otherwise(F.col("a4")))

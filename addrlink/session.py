@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -97,18 +99,27 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False
     return df.repartition(n, df.columns[0]) if n else df
 
 
-# Intermediate frames persisted inside one cascade pass (label-level
-# aggregates, similarity-join inputs).  ``run_cascade`` releases them once the
-# pass's links are checkpointed, so caches do not pile up over many passes.
-_SCRATCH: list[DataFrame] = []
+# Intermediate frames persisted inside one pass (label-level aggregates,
+# similarity-join inputs), by the scope that is open: a scope releases its own
+# frames only, so caches neither pile up over many passes nor end for another run.
+_SCOPES: list[list[DataFrame]] = [[]]
+
+
+@contextmanager
+def scratch() -> Iterator[None]:
+    """Frames of ``persist_scratch`` inside are released at the end: materialise what leaves it."""
+    held: list[DataFrame] = []
+    _SCOPES.append(held)
+    try:
+        yield
+    finally:
+        _SCOPES.pop()
+        for df in held:
+            df.unpersist()
 
 
 def persist_scratch(df: DataFrame) -> DataFrame:
+    """Persist ``df`` until the innermost ``scratch`` scope ends (outside of any: as long as the session)."""
     df = df.persist()
-    _SCRATCH.append(df)
+    _SCOPES[-1].append(df)
     return df
-
-
-def release_scratch() -> None:
-    while _SCRATCH:
-        _SCRATCH.pop().unpersist()

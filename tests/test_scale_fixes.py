@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -50,6 +51,27 @@ def test_dictionary_table_gives_the_same_as_the_compiled_one(spark, rounds):
     assert got == want
 
 
+def _longest_first(label, rounds):
+    for _ in range(rounds):
+        hits = [(-len(a), m.start(), a, b) for a, b in A.SAMPLE_ABBREV for m in re.finditer(rf"\b{a}\b", label)]
+        if hits:
+            n, at, _, b = min(hits)
+            label = label[:at] + b + label[at - n:]
+    return label
+
+
+@pytest.mark.parametrize("rounds", [1, 2, 4])
+def test_the_longest_term_comes_first_wherever_it_stands(spark, rounds):
+    rng = random.Random(8)
+    words = [w for a, _ in A.SAMPLE_ABBREV for w in a.split()] + ["DE", "LA", "SAINTS", "ZONE", "ARTISANALE"]
+    labels = [" ".join(rng.choices(words, k=rng.randint(0, 8))) for _ in range(300)] + ["GRAND CHEMIN RURAL", "RUE DU GRAND PLACE"]
+    df = spark.createDataFrame(list(enumerate(labels)), "id long, label string")
+    got = {r["id"]: r["o"] for r in df.select("id", A.abbreviate("label", A.sample_dictionary(), rounds).alias("o")).collect()}
+    assert got == {i: _longest_first(x, rounds) for i, x in enumerate(labels)}
+    table = spark.createDataFrame(A.SAMPLE_ABBREV, "txt_long string, txt_court string")
+    assert got == {r["id"]: r["label"] for r in A.abbreviate_join(df, "label", table, rounds=rounds).collect()}
+
+
 def test_a_large_dictionary_runs(spark):
     table = spark.range(30_000).select(F.concat(F.lit("TERM"), "id").alias("txt_long"), F.concat(F.lit("T"), "id").alias("txt_court"))
     df = spark.createDataFrame([(1, "A TERM29999 B TERM5")], "id long, label string")
@@ -92,6 +114,7 @@ def test_postal_labels_come_from_the_tax_name_where_the_ign_has_none(spark):
     ran = spark.createDataFrame([("9", "94001", "RUE B")], "co_voie string, co_insee string, lb_voie string")
     labels = spark.createDataFrame([("RUE C", "RUE C"), ("RUE B", "RUE B")], "long string, court string")
     types = spark.createDataFrame([("RUE",)], "nom_court string")
+    g = g.withColumn("nom_maj_ign_source", F.col("nom_maj_ign"))
     _, right = postal_sides(g, ran, labels, types)
     got = {r["rid"]: (r["court"], r["court_if"], r["t_if"], r["rest_if"]) for r in right.collect()}
     assert got == {"F1": (None, "RUE C", "RUE", "C"), "F2": ("RUE B", "RUE B", "RUE", "B")}
