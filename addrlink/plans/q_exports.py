@@ -15,7 +15,7 @@ from ..session import ensure_checkpoint_dir, read_table
 from ..sinks import ndjson as K
 from ..sources import readers as SR
 from . import housenumbers as H
-from .q_housenumbers import MODEL_SQL, _hn, model
+from .q_housenumbers import MODEL_SQL, _fantoir, _hn, model
 from . import cascade_ign as I
 from .q_matching import PARITY_SQL, doc_groups, sql_one_to_one
 
@@ -26,81 +26,119 @@ def scratch_dir(spark, name: str) -> str:
     return f"{base}/scratch-{name}-{uuid.uuid4().hex[:8]}"
 
 
-# ------------------------------------------------------------------ JSON exports
+# ------------------------------------------------------------------ JSON documents
+def _json_sql(*keys: tuple[str, str, bool] | str) -> str:
+    """A document as text: (key, SQL value, always written) or a piece of JSON with its leading comma, in this order."""
+    out = ["'{'"]
+    for n, k in enumerate(keys):
+        comma = "," if n else ""
+        if isinstance(k, str):
+            out.append(k)
+            continue
+        name, value, always = k
+        head = S.q(f'{comma}"{name}":')
+        out.append(f"{head} || to_json(coalesce({value}, ''))" if always else
+                   f"CASE WHEN {value} IS NOT NULL THEN {head} || to_json({value}) ELSE '' END")
+    return " || ".join([*out, "'}'"])
+
+
+def _dep_sql(insee: str) -> str:
+    return f"CASE WHEN {insee} LIKE '97%' THEN left({insee}, 3) ELSE left({insee}, 2) END"
+
+
+def _source_sql(name: str) -> str:
+    return S.q(f',"attributes":{{"source_init_name":"{name}"}}')
+
+
+def written_and_read(spark, docs, name: str):
+    """K6: the documents as they come back from the files of a partitioned write."""
+    path = scratch_dir(spark, name)
+    K.write_ndjson(docs, path)
+    return K.read_ndjson(spark, path)
+
+
 _GF_SQL = """gf AS (SELECT CAST(10000 + c_custkey % 25 AS VARCHAR) || right('0000' || CAST(c_custkey AS VARCHAR), 4) AS id_fantoir,
     CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN NULL ELSE 'I' || CAST(c_custkey AS VARCHAR) END AS id_pseudo_fpb,
     CASE WHEN c_mktsegment = 'FURNITURE' THEN NULL ELSE right('0000000' || CAST(c_custkey AS VARCHAR), 8) END AS co_voie,
-    CAST(10000 + c_custkey % 25 AS VARCHAR) AS code_insee,
-    'RUE ' || upper(c_name) AS nom_fantoir,
-    CASE WHEN c_mktsegment <> 'AUTOMOBILE' THEN 'Rue ' || lower(c_name) END AS nom_ign,
-    CASE WHEN c_mktsegment <> 'FURNITURE' THEN 'R ' || upper(c_name) END AS nom_laposte,
+    CASE WHEN c_nationkey = 3 THEN '97' ELSE '10' END || CAST(100 + c_custkey % 25 AS VARCHAR) AS code_insee,
+    'RUE ' || upper(c_name) AS nom_maj_fantoir,
+    CASE WHEN c_mktsegment <> 'AUTOMOBILE' THEN 'Rue "' || lower(c_name) || '" é\\' END AS nom_ign_retenu,
+    CASE WHEN c_mktsegment <> 'FURNITURE' THEN 'R ' || upper(c_name) END AS lb_voie,
     CASE WHEN c_acctbal > 0 THEN 'Rue ' || c_name END AS nom_cadastre,
-    CASE WHEN c_mktsegment = 'BUILDING' THEN 'area' ELSE 'way' END AS kind,
+    CASE WHEN c_mktsegment = 'BUILDING' THEN 'area' ELSE 'way' END AS kind_fantoir,
+    CASE WHEN c_nationkey % 4 > 0 THEN 'way' END AS kind_ign, 'way' AS kind_laposte,
+    CASE WHEN c_nationkey % 3 = 0 THEN 'Al ' || c_name END AS alias_ign,
     CASE WHEN c_nationkey % 2 = 0 THEN 'classical' END AS addressing FROM customer)"""
+_T, _PLACE = ("type", "'group'", True), ("municipality:insee", "code_insee", True)
+_GROUP_SQL = {
+    "03_A_groups": ("id_fantoir", _json_sql(
+        _T, ("group", "kind_fantoir", True), ("fantoir", "id_fantoir", True), _PLACE, ("name", "nom_maj_fantoir", True),
+        _source_sql("FANTOIR"))),
+    "03_B_groups": ("id_pseudo_fpb", _json_sql(
+        _T, ("group", "kind_ign", True), _PLACE, ("name", "nom_ign_retenu", True), ("ign", "id_pseudo_fpb", True),
+        _source_sql("IGN"), ("fantoir", "id_fantoir", False), ("alias", "alias_ign", False), ("addressing", "addressing", False))),
+    "03_C_groups": ("co_voie", _json_sql(
+        _T, ("group", "kind_laposte", True), _PLACE, ("name", "lb_voie", True), ("laposte", "co_voie", True),
+        _source_sql("LAPOSTE"), ("fantoir", "id_fantoir", False), ("ign", "id_pseudo_fpb", False))),
+    "03_D_groups": ("nom_cadastre", _json_sql(
+        _T, ("fantoir", "id_fantoir", True), ("name", "nom_cadastre", True), _source_sql("DGFIP"))),
+}
 
 
-@query("json_groups", f"""
-WITH {_GF_SQL},
-v AS (SELECT 1 AS version, id_fantoir AS id, nom_fantoir AS name, code_insee, kind, addressing FROM gf
-        WHERE id_fantoir IS NOT NULL AND nom_fantoir IS NOT NULL
-      UNION ALL SELECT 2, id_pseudo_fpb, nom_ign, code_insee, kind, addressing FROM gf
-        WHERE id_pseudo_fpb IS NOT NULL AND nom_ign IS NOT NULL
-      UNION ALL SELECT 3, co_voie, nom_laposte, code_insee, kind, addressing FROM gf
-        WHERE co_voie IS NOT NULL AND nom_laposte IS NOT NULL
-      UNION ALL SELECT 4, id_fantoir, nom_cadastre, code_insee, kind, addressing FROM gf
-        WHERE id_fantoir IS NOT NULL AND nom_cadastre IS NOT NULL)
-SELECT version, CASE WHEN code_insee LIKE '97%' THEN left(code_insee, 3) ELSE left(code_insee, 2) END AS dep,
-       id, name, kind, addressing, 6 + CASE WHEN addressing IS NULL THEN 0 ELSE 1 END AS n_keys
-FROM v
-""")
+@query("json_groups", f"WITH {_GF_SQL}\n" + "\nUNION ALL\n".join(
+    f"SELECT {_dep_sql('code_insee')} AS dep, '{file}' AS file, {doc} AS json FROM gf WHERE {known} IS NOT NULL"
+    for file, (known, doc) in _GROUP_SQL.items()))
 def json_groups(spark, sf):
-    """Four group versions in posting order, optional keys only when
-    non-null, department partition key; fields read back from the JSON text."""
-    from .q_housenumbers import _fantoir, _insee
+    """The four versions of the street documents, whole texts, written and read back by department."""
     c = read_table(spark, sf, "customer")
-    k, seg = F.col("c_custkey"), F.col("c_mktsegment")
+    k, seg, nation = F.col("c_custkey"), F.col("c_mktsegment"), F.col("c_nationkey")
     gf = c.select(
         _fantoir(k).alias("id_fantoir"),
-        F.when(seg == "AUTOMOBILE", F.lit(None)).otherwise(F.concat(F.lit("I"), k.cast("string"))).alias("id_pseudo_fpb"),
-        F.when(seg == "FURNITURE", F.lit(None)).otherwise(T.pad8(k.cast("string"))).alias("co_voie"),
-        _insee(k).alias("code_insee"),
-        F.concat(F.lit("RUE "), F.upper("c_name")).alias("nom_fantoir"),
-        F.when(seg != "AUTOMOBILE", F.concat(F.lit("Rue "), F.lower("c_name"))).alias("nom_ign"),
-        F.when(seg != "FURNITURE", F.concat(F.lit("R "), F.upper("c_name"))).alias("nom_laposte"),
+        F.when(seg != "AUTOMOBILE", F.concat(F.lit("I"), k.cast("string"))).alias("id_pseudo_fpb"),
+        F.when(seg != "FURNITURE", T.pad8(k.cast("string"))).alias("co_voie"),
+        F.concat(F.when(nation == 3, F.lit("97")).otherwise(F.lit("10")), (100 + k % 25).cast("string")).alias("code_insee"),
+        F.concat(F.lit("RUE "), F.upper("c_name")).alias("nom_maj_fantoir"),
+        F.when(seg != "AUTOMOBILE", F.concat(F.lit('Rue "'), F.lower("c_name"), F.lit('" é\\'))).alias("nom_ign_retenu"),
+        F.when(seg != "FURNITURE", F.concat(F.lit("R "), F.upper("c_name"))).alias("lb_voie"),
         F.when(F.col("c_acctbal") > 0, F.concat(F.lit("Rue "), F.col("c_name"))).alias("nom_cadastre"),
-        F.when(seg == "BUILDING", F.lit("area")).otherwise(F.lit("way")).alias("kind"),
-        F.when(F.col("c_nationkey") % 2 == 0, F.lit("classical")).alias("addressing"))
-    out = None
-    idcol = {1: "fantoir", 2: "ign", 3: "laposte", 4: "fantoir"}
-    for v in (1, 2, 3, 4):
-        e = K.export_groups(gf, v)
-        j = F.col("json")
-        e = e.select("version", "dep",
-                     F.get_json_object(j, f"$.{idcol[v]}").alias("id"),
-                     F.get_json_object(j, "$.name").alias("name"),
-                     F.get_json_object(j, "$.kind").alias("kind"),
-                     F.get_json_object(j, "$.addressing").alias("addressing"),
-                     F.size(F.map_keys(F.from_json(j, "map<string,string>"))).alias("n_keys"))
-        out = e if out is None else out.unionByName(e)
-    return out
+        F.when(seg == "BUILDING", F.lit("area")).otherwise(F.lit("way")).alias("kind_fantoir"),
+        F.when(nation % 4 > 0, F.lit("way")).alias("kind_ign"), F.lit("way").alias("kind_laposte"),
+        F.when(nation % 3 == 0, F.concat(F.lit("Al "), F.col("c_name"))).alias("alias_ign"),
+        F.when(nation % 2 == 0, F.lit("classical")).alias("addressing"))
+    return written_and_read(spark, R.append(*[K.export_groups(gf, v) for v in (1, 2, 3, 4)]), "groups")
 
 
-@query("json_housenumbers", f"""
-WITH {MODEL_SQL.strip()}
-SELECT CASE WHEN code_insee LIKE '97%' THEN left(code_insee, 3) ELSE left(code_insee, 2) END AS dep,
-  CASE WHEN group_fantoir IS NOT NULL THEN 'fantoir:' || group_fantoir WHEN group_ign IS NOT NULL THEN 'ign:' || group_ign
-       ELSE 'laposte:' || group_laposte END AS parent,
-  number, ordinal, cia, CASE WHEN co_postal IS NOT NULL THEN 'code:' || co_postal END AS postcode, source_init
-FROM hn_all WHERE group_fantoir IS NOT NULL OR group_ign IS NOT NULL OR group_laposte IS NOT NULL
-""")
+_LOCATED = [f"CASE WHEN co_postal IS NOT NULL THEN ',\"postcode:code\":' || to_json(co_postal) || "
+            f"',\"municipality:insee\":' || to_json(code_insee) ELSE '' END", ("postcode:complement", "lb_l5", False),
+            "',\"attributes\":{\"source_init\":' || to_json(source_init) || CASE WHEN destination IS NOT NULL THEN "
+            "',\"destination_dgfip\":' || to_json(destination) ELSE '' END || '}'"]
+_NUMBER = [("numero", "number", True), ("ordinal", "ordinal", True), *_LOCATED]
+_HN_SQL = {
+    "04_housenumbers": ("group_fantoir IS NOT NULL", _json_sql(
+        ("type", "'housenumber'", True), ("group:fantoir", "group_fantoir", True), ("cia", "cia", True), ("ign", "ign", False),
+        ("laposte", "laposte", False), *_NUMBER)),
+    "05_housenumbers": ("group_fantoir IS NULL AND group_ign IS NOT NULL", _json_sql(
+        ("type", "'housenumber'", True), ("group:ign", "group_ign", True), ("cia", "''", True), ("ign", "ign", True),
+        ("laposte", "laposte", True), *_NUMBER)),
+    "06_housenumbers": ("group_fantoir IS NULL AND group_ign IS NULL AND group_laposte IS NOT NULL", _json_sql(
+        ("type", "'housenumber'", True), ("group:laposte", "group_laposte", True), ("cia", "''", True),
+        ("laposte", "laposte", True), *_NUMBER)),
+}
+
+
+@query("json_housenumbers", f"WITH {MODEL_SQL.strip()}\n" + "\nUNION ALL\n".join(
+    f"SELECT {_dep_sql('code_insee')} AS dep, '{file}' AS file, {doc} AS json FROM hn_all WHERE {known}"
+    for file, (known, doc) in _HN_SQL.items()))
 def json_housenumbers(spark, sf):
-    """K4 K6: house numbers in three disjoint sets by parent id, nested attributes."""
-    hn = _hn(spark, sf)[4]
-    e = K.export_housenumbers(hn, keep_destination=True)
-    j = F.col("json")
-    return e.select("dep", *[F.get_json_object(j, f"$.{k}").alias(k)
-                             for k in ("parent", "number", "ordinal", "cia", "postcode")],
-                    F.get_json_object(j, "$.attributes.source_init").alias("source_init"))
+    """K4: house numbers in three disjoint sets by parent id, optional keys, nested attributes; whole texts."""
+    return K.export_housenumbers(_hn(spark, sf)[4])
+
+
+def _position_sql(*keys) -> str:
+    return _json_sql(("type", "'position'", True), ("kind", "kind", True), ("name", "name", False),
+                     ("positioning", "positioning", True), *keys,
+                     "',\"geometry\":{\"type\":\"Point\",\"coordinates\":[' || CAST(lon AS VARCHAR) || ',' || CAST(lat AS VARCHAR) || ']}'",
+                     ("source", "source_init", True))
 
 
 @query("json_positions", f"""
@@ -109,34 +147,75 @@ gi AS (SELECT id_pseudo_fpb, id_fantoir FROM groups),
 ip AS (SELECT s.*, CASE WHEN indice_de_positionnement = '5' THEN 'area' WHEN type_de_localisation = 'A la plaque' THEN 'entrance'
     WHEN type_de_localisation = 'Projetée du centre parcelle' THEN 'segment' WHEN type_de_localisation LIKE 'A la zone%' THEN 'area'
     WHEN type_de_localisation = 'Interpolée' THEN 'segment' ELSE 'unknown' END AS kind,
+    CASE WHEN type_de_localisation LIKE 'Projetée%' THEN 'projection' WHEN type_de_localisation = 'Interpolée' THEN 'interpolation'
+         ELSE 'other' END AS positioning,
     CASE WHEN gi.id_fantoir IS NOT NULL THEN concat_ws('_', left(gi.id_fantoir, 5), right(gi.id_fantoir, 4), s.numero, s.rep)
          ELSE '' END AS cia
     FROM stacked s LEFT JOIN gi ON gi.id_pseudo_fpb = s.id_pseudo_fpb),
-pos AS (SELECT cia, CAST(round(CAST(lon AS DECIMAL(20,10)), 6) AS DOUBLE) AS lon, CAST(round(CAST(lat AS DECIMAL(20,10)), 6) AS DOUBLE) AS lat,
-    id AS ign, id_hn AS housenumber_ign, kind FROM ip WHERE kind <> 'unknown' AND indice_de_positionnement <> '6'
+pos AS (SELECT cia, CAST(round(CAST(lon AS DECIMAL(20,10)), 6) AS DECIMAL(17,6)) AS lon,
+    CAST(round(CAST(lat AS DECIMAL(20,10)), 6) AS DECIMAL(17,6)) AS lat, id AS ign, id_hn AS housenumber_ign, kind, positioning,
+    designation_de_l_entree AS name, 'IGN (2018)' AS source_init
+    FROM ip WHERE kind <> 'unknown' AND indice_de_positionnement <> '6'
     UNION ALL
-    SELECT cia, CAST(round(CAST(lon AS DECIMAL(20,10)), 6) AS DOUBLE), CAST(round(CAST(lat AS DECIMAL(20,10)), 6) AS DOUBLE),
-    NULL, NULL, CASE WHEN position_type = 'parcel' THEN 'parcel' ELSE 'entrance' END FROM taxc WHERE position_type IS NOT NULL),
+    SELECT cia, CAST(round(CAST(lon AS DECIMAL(20,10)), 6) AS DECIMAL(17,6)), CAST(round(CAST(lat AS DECIMAL(20,10)), 6) AS DECIMAL(17,6)),
+    NULL, NULL, CASE WHEN position_type = 'parcel' THEN 'parcel' ELSE 'entrance' END, 'other', NULL, 'DGFIP/ETALAB (2018)'
+    FROM taxc WHERE position_type IS NOT NULL),
 pk1 AS (SELECT cia, max(code_insee) AS insee1 FROM hn_all WHERE cia IS NOT NULL AND cia <> '' GROUP BY cia),
 pk2 AS (SELECT ign, max(code_insee) AS insee2 FROM hn_all WHERE ign IS NOT NULL AND ign <> '' GROUP BY ign),
-p AS (SELECT pos.*, coalesce(pk1.insee1, pk2.insee2) AS insee FROM pos LEFT JOIN pk1 ON pos.cia = pk1.cia
-      LEFT JOIN pk2 ON pos.housenumber_ign = pk2.ign
-      WHERE (pos.cia IS NOT NULL AND pos.cia <> '' AND pk1.insee1 IS NOT NULL) OR pk2.insee2 IS NOT NULL)
-SELECT CASE WHEN insee LIKE '97%' THEN left(insee, 3) ELSE left(insee, 2) END AS dep,
-  CASE WHEN housenumber_ign IS NOT NULL THEN 'ign:' || housenumber_ign ELSE 'cia:' || cia END AS housenumber,
-  lon, lat, kind
-FROM p
+p AS (SELECT pos.*, {_dep_sql('insee1')} AS d1, {_dep_sql('insee2')} AS d2
+      FROM pos LEFT JOIN pk1 ON pos.cia = pk1.cia LEFT JOIN pk2 ON pos.housenumber_ign = pk2.ign
+      WHERE (pos.cia IS NOT NULL AND pos.cia <> '' AND pk1.insee1 IS NOT NULL) OR pk2.insee2 IS NOT NULL),
+d AS (SELECT p.*, unnest([x FOR x IN CASE WHEN d1 = d2 THEN [d1] ELSE [d1, d2] END IF x IS NOT NULL]) AS dep FROM p)
+SELECT dep, '07_positions' AS file, {_position_sql(("housenumber:cia", "cia", True))} AS json FROM d WHERE source_init LIKE '%DGFIP%'
+UNION ALL
+SELECT dep, '08_positions', {_position_sql(("housenumber:ign", "housenumber_ign", True), ("ign", "ign", True))}
+FROM d WHERE source_init LIKE '%IGN%'
 """)
 def json_positions(spark, sf):
-    """Positions as GeoJSON points, keyed by IGN id or cia."""
+    """Positions as GeoJSON points in the department of either municipality, written and read back."""
     m, stacked, tax, postal, hn = _hn(spark, sf)
     p = H.build_positions(H.ign_positions(stacked, m["groups"]), tax, hn)
-    e = K.export_positions(p)
-    j = F.col("json")
-    return e.select("dep", F.get_json_object(j, "$.housenumber").alias("housenumber"),
-                    F.get_json_object(j, "$.center.coordinates[0]").cast("double").alias("lon"),
-                    F.get_json_object(j, "$.center.coordinates[1]").cast("double").alias("lat"),
-                    F.get_json_object(j, "$.kind").alias("kind"))
+    return written_and_read(spark, K.export_positions(p), "positions")
+
+
+@query("json_places", f"""
+WITH m AS (SELECT DISTINCT CASE WHEN c_nationkey = 3 THEN '97' ELSE '10' END || CAST(100 + c_custkey % 25 AS VARCHAR) AS insee FROM customer),
+n AS (SELECT insee, 'L''"' || insee AS name FROM m),
+p AS (SELECT DISTINCT CASE WHEN c_nationkey = 3 THEN '97' ELSE '10' END || CAST(100 + c_custkey % 25 AS VARCHAR) AS co_insee,
+        CAST(20000 + c_nationkey AS VARCHAR) AS co_postal, upper(c_mktsegment) AS lb_l6,
+        CASE WHEN c_acctbal < 1000 THEN 'L5 ' || c_mktsegment END AS lb_l5_nn FROM customer)
+SELECT {_dep_sql('insee')} AS dep, '01_municipalities' AS file,
+       {_json_sql(("type", "'municipality'", True), ("insee", "insee", True), ("name", "name", True))} AS json FROM n
+UNION ALL
+SELECT {_dep_sql('co_insee')}, '02_postcodes', {_json_sql(
+    ("type", "'postcode'", True), ("postcode", "co_postal", True), ("name", "lb_l6", True),
+    ("municipality:insee", "co_insee", True), ("complement", "lb_l5_nn", True))} FROM p
+""")
+def json_places(spark, sf):
+    """K1 K2 K6: municipality and postcode documents, written by department and read back."""
+    c = read_table(spark, sf, "customer")
+    insee = F.concat(F.when(F.col("c_nationkey") == 3, F.lit("97")).otherwise(F.lit("10")),
+                     (100 + F.col("c_custkey") % 25).cast("string"))
+    towns = c.select(insee.alias("insee")).distinct().withColumn("name", F.concat(F.lit("L'\""), F.col("insee")))
+    codes = c.select(insee.alias("co_insee"), (20000 + F.col("c_nationkey")).cast("string").alias("co_postal"),
+                     F.upper("c_mktsegment").alias("lb_l6"),
+                     F.when(F.col("c_acctbal") < 1000, F.concat(F.lit("L5 "), F.col("c_mktsegment"))).alias("lb_l5_nn")).distinct()
+    return written_and_read(spark, R.append(K.export_municipalities(towns), K.export_postcodes(codes)), "places")
+
+
+@query("json_patches", """
+SELECT '{"method":"PATCH","path":"/group/' || CAST(c_custkey AS VARCHAR) || '","body":{"name":' ||
+       to_json(CASE WHEN c_mktsegment = 'BUILDING' THEN replace('Ch ' || c_name, 'Ch ', 'Chemin ') ELSE replace('Rte ' || c_name, 'Rte ', 'Route ') END)
+       || ',"version":"' || CAST(c_nationkey + 1 AS VARCHAR) || '"}}' AS json
+FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')
+""")
+def json_patches(spark, sf):
+    """Rename patches - method, path, new name and next version - of the streets that a rule changes."""
+    c = read_table(spark, sf, "customer")
+    head = F.when(F.col("c_mktsegment") == "BUILDING", F.lit("Ch ")).when(F.col("c_mktsegment") == "MACHINERY", F.lit("Rte ")).otherwise(F.lit("Rue "))
+    g = c.select(F.col("c_custkey").alias("id"), F.concat(head, F.col("c_name")).alias("name"), F.col("c_nationkey").alias("version"))
+    g = g.withColumn("renamed", T.first_rule("name", [("Ch ", "Chemin "), ("Rte ", "Route ")]))
+    return K.export_patches(g, "renamed")
 
 
 # ------------------------------------------------------------------ merged groups
@@ -236,7 +315,9 @@ SELECT right('00' || CAST(c_nationkey AS VARCHAR), 2) AS code_dept, right('000'
   right('0000' || CAST(c_custkey AS VARCHAR), 4) AS id_voie, trim(left(upper(c_mktsegment), 4)) AS nature_voie,
   trim(left(upper(replace(c_name, '#', ' ')), 26)) AS libelle_voie,
   TRY_CAST(CAST(CAST(floor(c_acctbal) AS BIGINT) AS VARCHAR) AS INTEGER) AS pop_a_part, CAST(NULL AS INTEGER) AS pop_fictive,
-  right('00' || CAST(c_nationkey AS VARCHAR), 2) || right('000' || CAST(c_custkey % 1000 AS VARCHAR), 3) AS code_insee
+  right('00' || CAST(c_nationkey AS VARCHAR), 2) || right('000' || CAST(c_custkey % 1000 AS VARCHAR), 3) AS code_insee,
+  right('00' || CAST(c_nationkey AS VARCHAR), 2) || right('000' || CAST(c_custkey % 1000 AS VARCHAR), 3) || '_' ||
+  right('0000' || CAST(c_custkey AS VARCHAR), 4) || 'K' AS fantoir
 FROM customer
 """)
 def fixed_width(spark, sf):
@@ -262,7 +343,7 @@ def fixed_width(spark, sf):
     dep_hdr.unionByName(com_hdr).unionByName(c.select(line.alias("value"))).write.mode("overwrite").text(path)
     r = SR.read_fixed_width(spark, path)
     return r.select("code_dept", "code_com", "id_voie", "nature_voie", "libelle_voie", "pop_a_part",
-                    "pop_fictive", "code_insee")
+                    "pop_fictive", "code_insee", "fantoir")
 
 
 @query("csv_sources", """
