@@ -16,6 +16,7 @@ from ..sinks import ndjson as K
 from ..sources import readers as SR
 from . import housenumbers as H
 from .q_housenumbers import MODEL_SQL, _fantoir, _hn, model
+from . import audit as A
 from . import cascade_ign as I
 from .q_matching import PARITY_SQL, doc_groups, sql_one_to_one
 
@@ -270,43 +271,137 @@ UNION ALL SELECT 'R12 bad part ids', '', count(*) FROM (SELECT l_partkey FROM li
 UNION ALL SELECT 'O2 top order', CAST(o_orderkey AS VARCHAR), 1 FROM (SELECT o_orderkey FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 5)
 """)
 def audit(spark, sf):
-    """Source-versus-result checks as one
-    tidy (check_name, k, n) table; counts only, no rows pulled to the driver."""
+    """Source-versus-result checks as one tidy (check_name, k, n) table.
+
+    Lines are summed per order once; all checks of an order are conditions of one
+    aggregate over orders and these sums.
+    """
+    o, li, part = (read_table(spark, sf, t) for t in ("orders", "lineitem", "part"))
+    lines = li.groupBy("l_orderkey").agg(
+        F.round(F.sum("l_extendedprice"), 2).alias("s"), F.count(F.lit(1)).alias("n"),
+        F.max(F.col("l_linestatus") == "F").alias("has_f"))
+    both = o.join(lines, o["o_orderkey"] == lines["l_orderkey"], "full")
+    known, lost = F.col("o_orderkey").isNotNull(), F.col("l_orderkey").isNull()
+    per_order = A.checks(both, {
+        "R1 orders": known, "R1 orders in lineitem": ~lost, "R2 lost orders": known & lost,
+        "R3 price mismatch": known & (lost | (F.col("s") != F.round("o_totalprice", 2))),
+        "R5 status F without F line": (F.col("o_orderstatus") == "F") & ~F.coalesce("has_f", F.lit(False)),
+        "R11 line count differs": known & (F.col("n") != (F.col("o_orderkey") % 7) + 1)})
+    flags = A.frequency(li.select(F.concat_ws("/", "l_linestatus", "l_returnflag").alias("flag by status")), "flag by status")
+    return A.audit(
+        per_order, A.count_rows("R4 duplicate lines", A.duplicate_keys(li, ["l_orderkey", "l_linenumber"])),
+        A.frequency(o.withColumnRenamed("o_orderstatus", "status"), "status"),
+        flags.withColumn("check_name", F.lit("R8 flag by status")),
+        A.count_rows("R12 bad part ids", A.bad_foreign_ids(li, part, "l_partkey", "p_partkey")),
+        o.orderBy(F.desc("o_totalprice"), "o_orderkey").limit(5).select(
+            F.lit("O2 top order").alias("check_name"), F.col("o_orderkey").cast("string").alias("k"), F.lit(1).cast("long").alias("n")))
+
+
+_SRC_SQL = """src AS (SELECT o_orderkey AS id, o_custkey AS parent, o_orderstatus AS status, left(o_orderpriority, 1) AS prio,
+  o_orderkey % 4 AS number FROM orders),
+dst AS (SELECT id, parent, CASE WHEN id % 7 = 0 THEN NULL WHEN id % 11 = 0 THEN 'X' ELSE status END AS status,
+  CASE prio WHEN '1' THEN 'urgent' WHEN '2' THEN 'high' WHEN '3' THEN 'medium' ELSE 'low' END AS code, prio,
+  CASE WHEN id % 13 = 0 THEN number + 1 ELSE number END AS number, CASE WHEN id % 9 > 0 THEN 'S' || CAST(id AS VARCHAR) END AS ign,
+  CASE WHEN id % 8 > 0 THEN 'DGFIP|IGN' ELSE 'DGFIP' END AS source FROM src WHERE id % 10 > 0),
+lost AS (SELECT * FROM src WHERE id NOT IN (SELECT id FROM dst)),
+m AS (SELECT n_nationkey AS pk FROM nation WHERE n_name LIKE 'NATION_1%'),
+g AS (SELECT c_custkey AS pk FROM customer WHERE c_nationkey IN (SELECT pk FROM m)),
+h AS (SELECT o_orderkey AS pk FROM orders WHERE o_custkey IN (SELECT pk FROM g)),
+far AS (SELECT id, number, 0.00001 * (id % 20) AS dlat FROM src)"""
+
+
+@query("register_audit", f"""
+WITH {_SRC_SQL}
+SELECT 'R1 source' AS check_name, '' AS k, count(*) AS n FROM src
+UNION ALL SELECT 'R1 result', '', count(*) FROM dst
+UNION ALL SELECT 'R2 lost', CAST(id AS VARCHAR), 1 FROM lost
+UNION ALL SELECT 'R3 status', '', count(*) FROM src s JOIN dst d USING (id) WHERE s.status IS DISTINCT FROM d.status
+UNION ALL SELECT 'R3 number', '', count(*) FROM src s JOIN dst d USING (id) WHERE s.number IS DISTINCT FROM d.number
+UNION ALL SELECT 'R5 ign id known', '', count(*) FROM dst WHERE source LIKE '%IGN%' AND ign IS NULL
+UNION ALL SELECT 'R7 refound', '', count(*) FROM lost l WHERE EXISTS
+  (SELECT 1 FROM dst d WHERE d.parent = l.parent AND d.prio = l.prio AND d.number = l.number)
+UNION ALL SELECT 'R8 prio->code', prio, count(*) FROM dst
+  WHERE code <> CASE prio WHEN '1' THEN 'urgent' WHEN '2' THEN 'high' WHEN '3' THEN 'medium' WHEN '4' THEN 'none' ELSE 'low' END GROUP BY prio
+UNION ALL SELECT 'R9 municipality', '', count(*) FROM m UNION ALL SELECT 'R9 group', '', count(*) FROM g
+UNION ALL SELECT 'R9 housenumber', '', count(*) FROM h
+UNION ALL SELECT 'R9 position', '', count(*) FROM lineitem WHERE l_orderkey IN (SELECT pk FROM h)
+UNION ALL SELECT 'R10 0.1 m', '', count(*) FROM far WHERE 2 * 6371008.8 * asin(sqrt(sin(radians(dlat) / 2) ^ 2)) > 0.1
+UNION ALL SELECT 'R10 10 m', '', count(*) FROM far WHERE 2 * 6371008.8 * asin(sqrt(sin(radians(dlat) / 2) ^ 2)) > 10
+UNION ALL SELECT 'R11 number', '', count(*) FROM src s JOIN dst d USING (id) WHERE s.number IS DISTINCT FROM d.number
+UNION ALL SELECT 'R12 parent', CAST(parent AS VARCHAR), count(*) FROM dst
+  WHERE parent NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 6 > 0) GROUP BY parent
+UNION ALL SELECT 'A8 no status', CAST(parent AS VARCHAR), count(*) FROM dst GROUP BY parent
+  HAVING max(status) IS NULL AND max(ign) IS NOT NULL
+""")
+def register_audit(spark, sf):
+    """R1-R12 A8 through the audit library: a register (from ``orders``) against a result with lost rows,
+    changed values and missing ids."""
+    o = read_table(spark, sf, "orders")
+    src = o.select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("parent"), F.col("o_orderstatus").alias("status"),
+                   F.left("o_orderpriority", F.lit(1)).alias("prio"), (F.col("o_orderkey") % 4).alias("number"))
+    i, p = F.col("id"), F.col("prio")
+    dst = src.filter(i % 10 > 0).select(
+        "id", "parent", F.when(i % 7 == 0, F.lit(None)).when(i % 11 == 0, F.lit("X")).otherwise(F.col("status")).alias("status"),
+        F.when(p == "1", "urgent").when(p == "2", "high").when(p == "3", "medium").otherwise("low").alias("code"), "prio",
+        F.when(i % 13 == 0, F.col("number") + 1).otherwise(F.col("number")).alias("number"),
+        F.when(i % 9 > 0, F.concat(F.lit("S"), i.cast("string"))).alias("ign"),
+        F.when(i % 8 > 0, F.lit("DGFIP|IGN")).otherwise(F.lit("DGFIP")).alias("source"))
+    lost = A.lost_rows(src, dst, "id")
+    tables = {"municipality": read_table(spark, sf, "nation").select(F.col("n_nationkey").alias("pk"), F.col("n_name").alias("insee")),
+              "group": read_table(spark, sf, "customer").select(F.col("c_custkey").alias("pk"), F.col("c_nationkey").alias("municipality_id")),
+              "housenumber": o.select(F.col("o_orderkey").alias("pk"), F.col("o_custkey").alias("parent_id")),
+              "position": read_table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("housenumber_id"))}
+    part = A.restrict_department(tables, "NATION_1")
+    far = src.select("id", F.lit(2.0).alias("lon"), F.lit(0.0).alias("lat"), F.lit(2.0).alias("lon2"),
+                     (F.lit(0.00001) * (i % 20)).alias("lat2"))
+    one = lambda name, df, k, n: df.select(F.lit(name).alias("check_name"), F.col(k).cast("string").alias("k"), n.cast("long").alias("n"))
+    register = read_table(spark, sf, "customer").filter(F.col("c_custkey") % 6 > 0)
+    without = A.having(dst, ["parent"], {"n": F.count(F.lit(1)), "status": F.max("status"), "ign": F.max("ign")}, ["status"], ["ign"])
+    codes = {"1": "urgent", "2": "high", "3": "medium", "4": "none", "5": "low"}
+    return A.audit(
+        A.count_check("R1", src, dst), one("R2 lost", lost, "id", F.lit(1)),
+        A.mismatch(src, dst, "id", {"status": "status", "number": "number"}),
+        A.coherence(dst, {"ign id known": ~F.contains("source", F.lit("IGN")) | F.col("ign").isNotNull()}),
+        A.count_rows("R7 refound", A.refound(lost, dst, ["parent", "prio", "number"])),
+        A.mapping_check(dst, "prio", "code", codes), *[A.count_rows(f"R9 {t}", df) for t, df in part.items()],
+        A.count_rows("R10 0.1 m", A.distance_outliers(far, 0.1)), A.count_rows("R10 10 m", A.distance_outliers(far, 10)),
+        A.count_rows("R11 number", A.ordinal_mismatch(src, dst, "id", "number")),
+        one("R12 parent", A.bad_foreign_ids(dst, register, "parent", "c_custkey"), "parent", F.col("n")),
+        one("A8 no status", without, "parent", F.col("n")))
+
+
+@query("anomaly_reports", f"""
+WITH {_SRC_SQL},
+lines AS (
+  SELECT 'anomalies' AS report, CAST(id AS VARCHAR) || ';' || status AS line FROM dst WHERE status = 'X'
+  UNION ALL SELECT 'too_far', CAST(id AS VARCHAR) || ';' || CAST(number AS VARCHAR) FROM far
+    WHERE 2 * 6371008.8 * asin(sqrt(sin(radians(dlat) / 2) ^ 2)) > 10
+  UNION ALL SELECT 'ordinals', CAST(s.id AS VARCHAR) || ';' || CAST(d.number AS VARCHAR) FROM src s JOIN dst d USING (id) WHERE s.number <> d.number
+  UNION ALL SELECT 'postal_links', CAST(l.id AS VARCHAR) || ';' || CAST(d.id AS VARCHAR) FROM lost l JOIN dst d
+    ON d.parent = l.parent AND d.prio = l.prio AND d.number = l.number)
+SELECT report, line FROM lines
+""")
+def anomaly_reports(spark, sf):
+    """The anomaly export and the three reports, written sorted as CSV and read back."""
     o = read_table(spark, sf, "orders")
-    li = read_table(spark, sf, "lineitem")
-    part = read_table(spark, sf, "part")
-    lo = li.select("l_orderkey").distinct()
-    lsum = li.groupBy("l_orderkey").agg(F.round(F.sum("l_extendedprice"), 2).alias("s"),
-                                        F.count(F.lit(1)).alias("n"))
-
-    def one(name, df, k=F.lit("")):
-        return df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("check_name"), k.alias("k"), "n")
-
-    parts = [
-        one("R1 orders", o),
-        one("R1 orders in lineitem", lo),
-        one("R2 lost orders", R.unmatched(o, lo, "o_orderkey", "l_orderkey")),
-        one("R3 price mismatch", o.join(lsum, o["o_orderkey"] == lsum["l_orderkey"], "left")
-            .filter(F.col("s").isNull() | (F.col("s") != F.round("o_totalprice", 2)))),
-        one("R4 duplicate lines", R.duplicated_keys(li, ["l_orderkey", "l_linenumber"])),
-        one("R5 status F without F line", R.unmatched(o.filter(F.col("o_orderstatus") == "F"),
-                                                      li.filter(F.col("l_linestatus") == "F"),
-                                                      "o_orderkey", "l_orderkey")),
-        o.groupBy(F.col("o_orderstatus").alias("k")).agg(F.count(F.lit(1)).alias("n"))
-        .select(F.lit("R6 status").alias("check_name"), "k", "n"),
-        li.groupBy(F.concat_ws("/", "l_linestatus", "l_returnflag").alias("k")).agg(F.count(F.lit(1)).alias("n"))
-        .select(F.lit("R8 flag by status").alias("check_name"), "k", "n"),
-        one("R11 line count differs", o.join(lsum, o["o_orderkey"] == lsum["l_orderkey"])
-            .filter(F.col("n") != (F.col("o_orderkey") % 7) + 1)),
-        one("R12 bad part ids", R.unmatched(li.select("l_partkey").distinct(), part, "l_partkey", "p_partkey")),
-        o.orderBy(F.desc("o_totalprice"), "o_orderkey").limit(5)
-        .select(F.lit("O2 top order").alias("check_name"), F.col("o_orderkey").cast("string").alias("k"),
-                F.lit(1).cast("long").alias("n")),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    src = o.select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("parent"), F.col("o_orderstatus").alias("status"),
+                   F.left("o_orderpriority", F.lit(1)).alias("prio"), (F.col("o_orderkey") % 4).alias("number"))
+    i = F.col("id")
+    dst = src.filter(i % 10 > 0).withColumns({
+        "status": F.when(i % 7 == 0, F.lit(None)).when(i % 11 == 0, F.lit("X")).otherwise(F.col("status")),
+        "number": F.when(i % 13 == 0, F.col("number") + 1).otherwise(F.col("number"))})
+    far = A.distance_outliers(src.select("id", "number", F.lit(2.0).alias("lon"), F.lit(0.0).alias("lat"), F.lit(2.0).alias("lon2"),
+                                         (F.lit(0.00001) * (i % 20)).alias("lat2")), 10)
+    ordinals = A.ordinal_mismatch(src, dst, "id", "number").select(F.col("a.id").alias("id"), F.col("b.number").alias("number"))
+    keys = ["parent", "prio", "number"]
+    links = A.lost_rows(src, dst, "id").join(dst.select(*keys, F.col("id").alias("other")), keys).select("id", "other")
+    path = scratch_dir(spark, "reports")
+    K.export_anomalies(dst.filter(F.col("status") == "X").select("id", "status"), f"{path}/anomalies", ["id"])
+    K.export_reports({"too_far": (far.select("id", "number", "dist_m"), [F.desc("dist_m"), F.col("id")]),
+                      "ordinals": (ordinals, [F.col("id")]), "postal_links": (links, [F.col("id"), F.col("other")])}, path)
+    back = [SR.read_csv_table(spark, f"{path}/{r}", ["a", "b"]).select(F.lit(r).alias("report"), F.concat_ws(";", "a", "b").alias("line"))
+            for r in ("anomalies", "too_far", "ordinals", "postal_links")]
+    return R.append(*back)
 
 
 # ------------------------------------------------------------------ producer files read back
