@@ -28,4 +28,4 @@ def query(name: str, sql: str | None = None):
 def load_all() -> None:
     """Import the modules that register queries."""
     from .plans import (q_labels, q_matching, q_relational,  # noqa: F401
-                        q_housenumbers, q_exports, q_register, q_sources)
+                        q_housenumbers, q_exports, q_prepare, q_register, q_sources)

@@ -87,10 +87,14 @@ def abbreviate_once(c, d: AbbrevDict) -> Column:
 
 
 def abbreviate(c, d: AbbrevDict, rounds: int = 4) -> Column:
-    """``rounds`` passes (the reference runs four)."""
+    """``rounds`` passes (the reference runs four).
+
+    A pass names the label many times; bound to a variable, it is computed once
+    per pass instead of being repeated inside the next one.
+    """
     out = _c(c)
     for _ in range(rounds):
-        out = abbreviate_once(out, d)
+        out = F.get(F.transform(F.array(out), lambda label: abbreviate_once(label, d)), F.lit(0))
     return out
 
 

@@ -50,8 +50,13 @@ def test_redirects_and_unabbreviate(spark):
                               "id string, insee_code string, successors string, start_datetime string, "
                               "end_datetime string, name string")
     assert [(r.old, r.new) for r in P.municipality_redirects(h).collect()] == [("14001", "14200")]
-    u = spark.range(1).select(P.unabbreviate(F.lit("AV L ABBE ST PIERRE"), [("AV", "Avenue")])).first()[0]
-    assert u == "Avenue L'ABBE Saint-PIERRE"
+    rules = spark.createDataFrame([(1, "AV", ["AV", "AVENUE"], False, "Avenue"), (2, "GR", ["GDE RUE"], True, "Grande Rue"),
+                                   (3, "GR", ["SCO", "SCOLAIRE"], True, "Groupe Scolaire")],
+                                  "rank int, lead string, repeats array<string>, required boolean, shown string")
+    want = {"AV L ABBE ST PIERRE": "Avenue l'ABBE Saint-PIERRE", "AV AVENUE D HIVER": "Avenue d'HIVER", "GR SCOLAIRE X": "Groupe Scolaire X",
+            "GR GDE RUE": "Grande Rue", "GR X": "GR X", "AVAL": "AVAL", "CE QU ON DIT": "CE qu'ON DIT", "AV AVENUES": "Avenue AVENUES"}
+    df = spark.createDataFrame([(x,) for x in [*want, None]], "l string")
+    assert {r.l: r.display for r in P.unabbreviate(df, "l", rules).collect()} == want | {None: None}
 
 
 def test_audit_checks(spark):
