@@ -122,3 +122,14 @@ def test_hot_block_is_not_all_pairs(spark):
     assert {(s, s) for _, s in L} <= got
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_queries_register_without_a_session():
+    """The entry's dictionaries are made before there is a Spark session."""
+    import subprocess
+    import sys
+    from pathlib import Path
+    root = str(Path(__file__).parents[1])
+    code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=120)
+    assert out.returncode == 0, out.stderr
