@@ -36,6 +36,8 @@ from .common import fold_of, text_parts
 #: Labelled rows that are learned from at most (those with the smallest hash of doc_id).
 TRAIN_ROWS = 4000
 BUCKETS = 1 << 16
+#: Type of bucket numbers while training: those of all texts are what the driver holds most of.
+SMALL = np.min_scalar_type(BUCKETS - 1)
 DIM = 8
 NGRAM_SIZES = (2, 3, 4)
 EPOCHS = 8
@@ -110,7 +112,7 @@ def fit(samples: list[tuple[str, int]], seed: int = 7) -> Model:
     held = [words_of(t) for t, _ in samples]
     buckets_of: dict[str, np.ndarray] = {}
     for words, buckets in subwords(set().union(*held)):
-        buckets_of.update(zip(words, buckets))
+        buckets_of.update(zip(words, buckets.astype(SMALL)))
     rows = []
     for words in held:
         if words:
@@ -123,7 +125,7 @@ def fit(samples: list[tuple[str, int]], seed: int = 7) -> Model:
             b, inverse = np.unique(at, return_inverse=True)
             rows.append((b, np.bincount(inverse, weight).astype(np.float32)))
         else:
-            rows.append((np.empty(0, np.int64), np.empty(0, np.float32)))
+            rows.append((np.empty(0, SMALL), np.empty(0, np.float32)))
     del held, buckets_of
     rng = np.random.default_rng(seed)
     vectors = rng.uniform(-1 / DIM, 1 / DIM, (BUCKETS, DIM)).astype(np.float32)
