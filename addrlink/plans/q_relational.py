@@ -355,12 +355,19 @@ def linker_2016(spark, sf):
                                                      F.col("nm").alias("nb"))
     # the two names of the left side are two rows of one equi-join on (brand, name)
     stripped = F.regexp_replace("nm", "^(RED|BLUE) ", "")
-    a = a.select(F.col("p_partkey").alias("pa"), "p_brand", "nm", F.explode(F.array_distinct(
-        F.array(F.col("nm"), stripped))).alias("nb"))
-    j = a.join(b, ["p_brand", "nb"]).filter(T.last_word(F.col("nm")) == T.last_word(F.col("nb")))
-    g = R.ordered_list(j.withColumn("pb_s", F.col("pb").cast("string")), "pa", "pb_s")
-    mx = j.groupBy("pa").agg(F.max("pb").alias("pb_max"))
-    return g.join(mx, "pa").select("pa", "pb_max", F.col("pb_s_list").alias("pb_list"))
+    a = a.select(F.col("p_partkey").alias("pa"), F.struct("p_brand", "nm").alias("k")).filter("k.p_brand is not null")
+    # the ids of a name are listed once, not once for every left row that has the name
+    ids = b.groupBy("p_brand", "nb").agg(F.collect_set(F.col("pb").cast("string")).alias("pbs"), F.max("pb").alias("top"))
+    names = a.select("k").distinct().select("k", "k.*").select(
+        "k", "p_brand", "nm", F.explode(F.array_distinct(F.array(F.col("nm"), stripped))).alias("nb"))
+    names = names.filter(T.last_word(F.col("nm")) == T.last_word(F.col("nb"))).join(ids, ["p_brand", "nb"])
+    names = names.select("k", "nb", "pbs", "top")
+    # a left id stands for its names (one, unless rows repeat it); equal sets of names share one list
+    own = a.groupBy("pa").agg(F.array_sort(F.collect_set("k")).alias("ks"))
+    lists = own.select("ks").distinct().select("ks", F.explode("ks").alias("k")).join(names, "k").groupBy("ks").agg(
+        F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list("pbs")))), ",").alias("pb_list"),
+        F.max("top").alias("pb_max"))
+    return own.join(lists, "ks").select("pa", "pb_max", "pb_list")
 
 
 # ------------------------------------------------------------------ map_attrs
